@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from .chat import op5_chat_format
 from .decontaminate import op1_decontaminate
+from .pack import op7_best_fit_pack
+from .secrets import op9_secret_scan
 from .shard import op3_rendezvous_shards
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_rendezvous_shards": op3_rendezvous_shards,
+    "op5_chat_format": op5_chat_format,
+    "op7_best_fit_pack": op7_best_fit_pack,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLES: dict[str, str] = {}
