@@ -79,3 +79,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def carried(docs: DataFrame, text_col: str) -> DataFrame:
+    """``text`` beside all other columns in one struct, so that their names can't clash with an operator's."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    return docs.select(F.struct(*rest or [F.lit(0).alias("none")]).alias("doc"), F.col(f"`{text_col}`").alias("text"))
+
+
+def restored(rows: DataFrame, columns: list[str], text_col: str) -> DataFrame:
+    """The columns that ``carried`` packed, in their old order."""
+    return rows.select(*[F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in columns])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, table
+from .common import carried, materialize, restored, table
 
 #: Letters A-Z become small; bytes that belong to no word become blanks; UTF-8 above ASCII stays.
 FOLD = bytes(
@@ -168,11 +168,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str =
                       item_text_cols: tuple[str, ...] = ("text",), window: int = 10,
                       automaton_bytes: int = AUTOMATON_BYTES) -> DataFrame:
     """The documents without any hit, all columns as they were (whatever their names); map-only."""
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col] or [F.lit(0).alias("none")])
-    columns = [rest.alias("doc"), F.col(text_col).alias("text")]
-    rows = _scanned(docs, columns, _items(benchmark, item_col, item_text_cols), True, window, automaton_bytes)
-    out = [F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
-    return rows.filter(F.size("state.items") == 0).select(*out)
+    columns = [F.col("doc"), F.col("text")]
+    rows = _scanned(carried(docs, text_col), columns, _items(benchmark, item_col, item_text_cols), True, window, automaton_bytes)
+    return restored(rows.filter(F.size("state.items") == 0), docs.columns, text_col)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

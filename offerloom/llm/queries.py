@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from .chat import op5_chat_format
 from .decontaminate import op1_decontaminate
+from .language import op4_language_mixture
 from .pack import op7_best_fit_pack
+from .quality import op10_quality_classifier
 from .secrets import op9_secret_scan
 from .shard import op3_rendezvous_shards
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_rendezvous_shards": op3_rendezvous_shards,
+    "op4_language_mixture": op4_language_mixture,
     "op5_chat_format": op5_chat_format,
     "op7_best_fit_pack": op7_best_fit_pack,
     "op9_secret_scan": op9_secret_scan,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {}

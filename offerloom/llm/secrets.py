@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import carried, restored, table
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -176,10 +176,8 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 def redact_secrets(docs: DataFrame, *, text_col: str = "text", least_cost: float = 10.0, mark: str = "[secret]") -> DataFrame:
     """All documents, each finding in their text replaced by ``mark``; other columns pass unchanged."""
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col] or [F.lit(0).alias("none")])
-    rows = docs.select(rest.alias("doc"), F.col(text_col).alias("text"))
-    rows = rows.mapInArrow(_scanner(least_cost, mark), rows.schema)
-    return rows.select(*[F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+    rows = carried(docs, text_col)
+    return restored(rows.mapInArrow(_scanner(least_cost, mark), rows.schema), docs.columns, text_col)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
