@@ -5,6 +5,7 @@ from __future__ import annotations
 from .chat import op5_chat_format
 from .decontaminate import op1_decontaminate
 from .language import op4_language_mixture
+from .media import op2_media_chunks
 from .pack import op7_best_fit_pack
 from .quality import op10_quality_classifier
 from .secrets import op9_secret_scan
@@ -12,6 +13,7 @@ from .shard import op3_rendezvous_shards
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_media_chunks": op2_media_chunks,
     "op3_rendezvous_shards": op3_rendezvous_shards,
     "op4_language_mixture": op4_language_mixture,
     "op5_chat_format": op5_chat_format,
