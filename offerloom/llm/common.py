@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,33 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.scratch import materialize, shared_dir  # noqa: F401
+
 #: Bytes of text handled at once by the vectorised kernels: their temporaries are a few dozen times this.
 BLOCK_BYTES = 1 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        context = spark.sparkContext._jsc.sc()
-        if context.getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="offerloom-"))
-        found = context.getCheckpointDir().get()
-    return found.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """``df`` written as a Parquet table in the shared folder and read back: lineage ends here, so a
-    lost executor costs no recomputation. The folder is removed when the application ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/offerloom-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", codec).parquet(path)
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path.getParent())
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """True for the fold that no model may learn from: crc32 of the id as text leaves 0 modulo 5."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -90,3 +67,18 @@ def carried(docs: DataFrame, text_col: str) -> DataFrame:
 def restored(rows: DataFrame, columns: list[str], text_col: str) -> DataFrame:
     """The columns that ``carried`` packed, in their old order."""
     return rows.select(*[F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in columns])
+
+
+def collect_bitmap(places: DataFrame, bits: int) -> bytes:
+    """A bitmap of ``bits`` bits with those of the column ``place`` set. Its size is the bound of what comes to
+    the driver (a row for each byte), however many rows there are."""
+    byte = places.select((F.col("place") / 8).cast("long").alias("at"), F.expr("shiftleft(1, cast(place % 8 AS int))").alias("value"))
+    found = byte.groupBy("at").agg(F.bit_or("value").alias("value")).toPandas()
+    bitmap = np.zeros(bits >> 3, np.uint8)
+    bitmap[found["at"].to_numpy(np.int64)] = found["value"].to_numpy(np.uint8)
+    return bitmap.tobytes()
+
+
+def bitmap_bits(count: int, least: int = 1 << 16, most: int = 1 << 26) -> int:
+    """A power of two with 64 bits or more for each of ``count`` entries, within the limits (the largest is 8 MB)."""
+    return min(max(1 << (64 * count).bit_length(), least), most)

@@ -28,12 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, mix64, table
+from .common import bitmap_bits, collect_bitmap, materialize, mix64, table
 
 FRAME, PAD = 576, 255
 LEAST, MOST, CLEAR_BITS = 512, 8192, 11
-#: Bits of the bitmap of shared digests: 64 for each, within these limits (the largest is 8 MB).
-BITMAP_LIMITS = (1 << 16, 1 << 26)
 _GEAR = (mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 _RATE = 8000
 
@@ -146,16 +144,11 @@ def store_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.col(text_col).alias("text"))
     counts = texts.mapInArrow(_digests, "digest binary").groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
     often = materialize(counts.filter("n > 1").select("digest"), "shared_digests")
-    bits = min(max(1 << (64 * often.count()).bit_length(), BITMAP_LIMITS[0]), BITMAP_LIMITS[1])
+    bits = bitmap_bits(often.count())
     # the first four bytes, little-endian, as ``_bit`` reads them
     byte = lambda k: F.conv(F.substring(F.hex("digest"), 2 * k + 1, 2), 16, 10).cast("long")
     place = (byte(0) + byte(1) * 256 + byte(2) * 65536 + byte(3) * 16777216).bitwiseAND(F.lit(bits - 1))
-    places = often.select(place.alias("place"))
-    bytes_ = places.groupBy((F.col("place") / 8).cast("long").alias("at")).agg(F.bit_or(F.expr("shiftleft(1, cast(place % 8 AS int))")).alias("value"))
-    bitmap = np.zeros(bits >> 3, np.uint8)
-    found = bytes_.toPandas()  # at most a row for each byte of the bitmap
-    bitmap[found["at"].to_numpy(np.int64)] = found["value"].to_numpy(np.uint8)
-    shared = spark.sparkContext.broadcast((bitmap.tobytes(), bits))
+    shared = spark.sparkContext.broadcast((collect_bitmap(often.select(place.alias("place")), bits), bits))
     store = texts.mapInArrow(_shared_chunks(shared), "digest binary, chunk binary")
     store = materialize(store.groupBy("digest").agg(F.first("chunk").alias("chunk")), "chunk_store")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import op5_chat_format
 from .decontaminate import op1_decontaminate
+from .jaccard import op6_jaccard_join
 from .language import op4_language_mixture
 from .media import op2_media_chunks
 from .pack import op7_best_fit_pack
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_rendezvous_shards": op3_rendezvous_shards,
     "op4_language_mixture": op4_language_mixture,
     "op5_chat_format": op5_chat_format,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_best_fit_pack": op7_best_fit_pack,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_classifier": op10_quality_classifier,
