@@ -11,6 +11,7 @@ from .pack import op7_best_fit_pack
 from .quality import op10_quality_classifier
 from .secrets import op9_secret_scan
 from .shard import op3_rendezvous_shards
+from .suffix import op8_suffix_dedup
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_chat_format": op5_chat_format,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_best_fit_pack": op7_best_fit_pack,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_classifier": op10_quality_classifier,
 }
