@@ -82,3 +82,17 @@ def collect_bitmap(places: DataFrame, bits: int) -> bytes:
 def bitmap_bits(count: int, least: int = 1 << 16, most: int = 1 << 26) -> int:
     """A power of two with 64 bits or more for each of ``count`` entries, within the limits (the largest is 8 MB)."""
     return min(max(1 << (64 * count).bit_length(), least), most)
+
+
+def bitmap_filter(shared, column: str, wanted: bool):
+    """For mapInArrow: the rows whose integer ``column`` is marked in a broadcast (bitmap, bits), or those it is not; null is not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, bits = shared.value
+        for batch in batches:
+            values = batch.column(batch.schema.get_field_index(column)).to_pylist()
+            hit = (x is not None and bool(bitmap[(x & bits - 1) >> 3] >> (x & 7) & 1) for x in values)
+            use = [k for k, found in enumerate(hit) if found == wanted]
+            yield batch if len(use) == len(values) else batch.take(pa.array(use, pa.int64()))
+
+    return run

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..operators.components import connected_components
-from .common import bitmap_bits, carried, collect_bitmap, materialize, mix64, restored, table
+from .common import bitmap_bits, bitmap_filter, carried, collect_bitmap, materialize, mix64, restored, table
 
 WORDS = 5
 #: Parts counted this often within one task are reported as frequent; at most so many of them are broadcast.
@@ -312,6 +312,26 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("head", "id").alias("component_id"))
 
 
+def keep_one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS) -> DataFrame:
+    """One document of each group, that with the least id; all columns as they were. Ids are integers.
+
+    Rows that share an id count as one document: of those in line to stay, one stays. Rows without an id can't
+    be told apart and stay. Only rows whose id is marked in a bitmap of bounded size (those to go, and
+    a few by chance) are shuffled to meet the exact list; all others pass in place."""
+    spark = docs.sparkSession
+    groups = materialize(similar_groups(docs, id_col=id_col, text_col=text_col, size=size).select(F.col(id_col).alias("id"), "component_id"), "groups")
+    per_id = groups.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("head"))
+    listed = materialize(per_id.filter("n > 1 OR id <> head").select("id", (F.col("id") == F.col("head")).alias("stays")), "listed")
+    bits = bitmap_bits(listed.count(), most=1 << 27)
+    shared = spark.sparkContext.broadcast((collect_bitmap(listed.select(F.col("id").cast("long").bitwiseAND(F.lit(bits - 1)).alias("place")), bits), bits))
+    rows = carried(docs, text_col).withColumn("id", F.col(f"doc.`{id_col}`"))
+    plain = rows.mapInArrow(bitmap_filter(shared, "id", False), rows.schema).select("doc", "text")
+    marked = rows.mapInArrow(bitmap_filter(shared, "id", True), rows.schema).join(listed, "id", "left")
+    chance = marked.filter(F.col("stays").isNull()).select("doc", "text")
+    repeated = marked.filter("stays").groupBy("id").agg(F.min_by(F.struct("doc", "text"), F.sha2(F.col("text").cast("binary"), 256)).alias("row"))
+    return restored(plain.unionByName(chance).unionByName(repeated.select("row.*")), docs.columns, text_col)
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return similar_groups(table(spark, sf_dir, "documents"))
