@@ -4,7 +4,7 @@ Features of a text are hashed: its words, their character n-grams (of 3 to 5, wi
 word pairs and a mark for a word repeated at once. Each bucket has a learned vector; a document is the
 average of its features' vectors, and a softmax layer gives the label's probability. Training is numpy
 stochastic gradient descent on the driver over a bounded sample of the labelled documents; scoring reads each
-whole text once and keeps, per word, the sum of what its buckets add to the output.
+whole text once and adds up what its buckets contribute to the output. Texts are hashed many at a time.
 
 Defined results: a null or empty text gets the model's bias alone; repeated rows get equal scores; labels that
 are null or have no document are not used, of several labels for one id the least counts; without any label all
@@ -13,7 +13,6 @@ scores are 0.5; other columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,58 +21,79 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, table
+from .common import held_out, mix64, table
 
 BUCKETS = 1 << 16
 #: Labelled documents that the model is fitted on at most: those with the least hash of their id.
 SAMPLE = 4000
 DIMENSIONS = 8
 GRAMS = (3, 4, 5)
-#: Words a worker remembers before it starts anew.
-REMEMBERED = 200_000
 _REPEATED = BUCKETS  # the bucket of a word that follows itself
-
-
-def word_features(word: bytes) -> np.ndarray:
-    """Buckets of a word: first its own, then those of its n-grams."""
-    whole = b"<" + word + b">"
-    grams = (whole[k : k + n] for n in GRAMS for k in range(len(whole) - n + 1))
-    return np.fromiter((zlib.crc32(x) & (BUCKETS - 1) for x in (b"w" + word, *grams)), np.int64)
-
-
-def pair_buckets(hashes: np.ndarray) -> np.ndarray:
-    """Buckets of neighbouring words, from the words' hashes."""
-    first, second = hashes[:-1], hashes[1:]
-    mixed = (first * np.uint64(0x9E3779B97F4A7C15) + second) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(48)
-    return np.where(first == second, _REPEATED, mixed.astype(np.int64))
-
-
-class _Words(dict):
-    """Numbers of words, and for each its hash, the sum of its buckets' weights and their number."""
-
-    def __init__(self, weights: np.ndarray):
-        super().__init__()
-        self.weights, self.rows = weights, []
-
-    def __missing__(self, word: bytes) -> int:
-        buckets = word_features(word)
-        self.rows.append((zlib.crc32(word), float(self.weights[buckets].sum()), len(buckets)))
-        self[word] = number = len(self.rows) - 1
-        return number
+#: Bytes handled at once. A longer text is read in parts cut between words, each counted for its document.
+PART = 1 << 17
+_BLANKS = bytes(32 if b in b"\t\n\r\x0b\x0c" else b for b in range(256))
+_POWERS = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
+
+
+def _parts(texts: list[bytes]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Texts, or parts of long ones, with their numbers, some PART bytes at a time."""
+    numbers, held, size = [], [], 0
+    for number, text in enumerate(texts):
+        at = 0
+        while True:
+            end = len(text) if len(text) - at <= 2 * PART else text.find(b" ", at + PART)
+            end = len(text) if end < 0 else end
+            numbers.append(number)
+            held.append(text[at:end])
+            size += end - at
+            if size >= PART:
+                yield numbers, held
+                numbers, held, size = [], [], 0
+            at = end
+            if at >= len(text):
+                break
+    if held:
+        yield numbers, held
+
+
+def features(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Arrays of (text number, bucket), one entry per occurrence of a feature."""
+    for numbers, held in _parts([t.translate(_BLANKS) for t in texts]):
+        data = np.frombuffer(b" " + b" ".join(held) + b"     ", np.uint8)
+        sizes = np.fromiter(map(len, held), np.int64) + 1
+        owner = np.repeat(np.asarray(numbers), sizes)  # a blank before a text belongs to it
+        blank = data == 32
+        n, wide = len(owner), data.astype(np.uint32)
+        fine = ~blank[1 : n + 1]
+        code = wide[:n] * np.uint32(0x85EBCA6B) + wide[1 : n + 1]
+        for size in range(2, max(GRAMS)):
+            code = code * np.uint32(0x9E3779B1) + wide[size : n + size]
+            if size + 1 in GRAMS:
+                use = np.flatnonzero(fine)
+                mixed = code[use] ^ code[use] >> np.uint32(15)
+                yield owner[use], (mixed * np.uint32(0xC2B2AE35) >> np.uint32(16)).astype(np.int64)
+            fine &= ~blank[size : n + size]
+        inside = ~blank[:n]
+        starts = np.flatnonzero(inside & np.concatenate([[True], blank[: n - 1]]))
+        if not len(starts):
+            continue
+        first = np.zeros(n, np.int64)
+        first[starts] = starts
+        place = np.arange(n) - np.maximum.accumulate(first)
+        words = mix64(np.add.reduceat(np.where(inside, (wide[:n] + np.uint32(1)) * _POWERS[place & 63] + place.astype(np.uint64), np.uint64(0)), starts))
+        whose = owner[starts]
+        yield whose, (words >> np.uint64(48)).astype(np.int64)
+        pair = np.flatnonzero(whose[1:] == whose[:-1])
+        left, right = words[pair], words[pair + 1]
+        mixed = (left * np.uint64(0x9E3779B97F4A7C15) + right) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(48)
+        yield whose[pair], np.where(left == right, _REPEATED, mixed.astype(np.int64))
 
 
 def document_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a whole text and how often each occurs."""
-    words = text.split()
-    if not words:
-        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     counts = np.zeros(BUCKETS + 1, np.int64)
-    known: dict[bytes, int] = {}
-    for word in words:
-        known[word] = known.get(word, 0) + 1
-    for word, times in known.items():
-        np.add.at(counts, word_features(word), times)
-    counts += np.bincount(pair_buckets(np.array([zlib.crc32(w) for w in words], np.uint64)), minlength=BUCKETS + 1)
+    for _, buckets in features([text]):
+        counts += np.bincount(buckets, minlength=BUCKETS + 1)
     used = np.flatnonzero(counts)
     return used.astype(np.int32), counts[used].astype(np.int32)
 
@@ -137,22 +157,14 @@ def _scorer(shared):
             weights, bias = np.zeros(BUCKETS + 1), 0.0
         else:
             weights, bias = shared.value
-        words = _Words(weights)
-        table = np.zeros((0, 3))
         for batch in batches:
-            scores = []
-            for text in batch.column(1).cast(pa.large_binary()).to_pylist():
-                numbers = np.fromiter(map(words.__getitem__, (text or b"").split()), np.int64)
-                level = bias
-                if len(numbers):
-                    if len(table) < len(words.rows):
-                        table = np.concatenate([table, np.array(words.rows[len(table) :], np.float64)])
-                    pairs = pair_buckets(table[numbers, 0].astype(np.uint64))
-                    level += (table[numbers, 1].sum() + weights[pairs].sum()) / (table[numbers, 2].sum() + len(pairs))
-                scores.append(1 / (1 + np.exp(-np.clip(level, -500, 500))))
-                if len(words) > REMEMBERED:
-                    words, table = _Words(weights), np.zeros((0, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["id", "score"])
+            texts = [x or b"" for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
+            sums, counts = np.zeros(len(texts)), np.zeros(len(texts))
+            for whose, buckets in features(texts):
+                sums += np.bincount(whose, weights[buckets], minlength=len(texts))
+                counts += np.bincount(whose, minlength=len(texts))
+            levels = bias + sums / np.maximum(counts, 1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(levels, -500, 500))))], ["id", "score"])
 
     return run
 
