@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import text_value
-from .relational import mode_per_group, top_per_key, tree_closure, upsert
+from .relational import mode_per_group, sequential_ids, top_per_key, tree_closure, upsert
 
 #: The category tree, indented by level, each line an id and a name.
 CATEGORY_TREE = """
@@ -109,6 +109,18 @@ def categories(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(category_rows(), "category_id long, name string, level long, parent_category_id long, parent_category string, is_leaf boolean")
 
 
+def category_tree(nodes: DataFrame, levels: int = LEVELS) -> DataFrame:
+    """A marketplace's categories (uid, title, parent_uid) as a tree: numbers by level and uid, levels, parents and leaves."""
+    rows = nodes.select("uid", F.trim("title").alias("name"), "parent_uid").dropDuplicates(["uid"])
+    depth = tree_closure(rows.withColumn("none", F.lit(0)), "uid", "parent_uid", "none", levels).groupBy("uid").agg(F.count(F.lit(1)).alias("level"))
+    placed = sequential_ids(rows.join(depth, "uid").withColumn("place", F.concat_ws(" ", F.lpad(F.col("level").cast("string"), 3, "0"), "uid")), "place", "", 9)
+    placed = placed.select("uid", "name", "parent_uid", "level", F.col("id").cast("long").alias("category_id"))
+    above = placed.select(F.col("uid").alias("parent_uid"), F.col("category_id").alias("parent_category_id"), F.col("name").alias("parent_category"))
+    inner = placed.select(F.col("parent_uid").alias("uid")).dropna().distinct().withColumn("is_inner", F.lit(True))
+    out = placed.join(above, "parent_uid", "left").join(inner, "uid", "left")
+    return out.select("category_id", "name", "level", "parent_category_id", "parent_category", F.col("is_inner").isNull().alias("is_leaf"), F.lit("active").alias("status"), F.col("uid").alias("source_uid"))
+
+
 def attributes(spark: SparkSession) -> DataFrame:
     """id, name, unit, group id and group of every attribute."""
     rows = [(*entry.split(":"), k, group) for k, (group, names) in enumerate(zip(ATTRIBUTE_GROUPS, ATTRIBUTES), 1) for entry in names.split()]
@@ -165,6 +177,13 @@ def price_history(offers: DataFrame, sku_map: DataFrame, as_of: Column) -> DataF
     )
 
 
+def price_changes(products: DataFrame, status: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of new and changed products, the least price and the total quantity over their offers, and the day."""
+    total = F.aggregate("offers", F.lit(0).cast("long"), lambda s, o: s + F.coalesce(o["quantity"], F.lit(0)))
+    changed = products.join(status.filter("status <> 'unchanged'").select(*keys), list(keys))
+    return changed.select(*keys, F.array_min(F.col("offers.price")).alias("price"), total.alias("quantity"), F.substring("parsed_at", 1, 10).alias("date"))
+
+
 def upsert_history(old: DataFrame, new: DataFrame) -> DataFrame:
     return upsert(old, new, HISTORY_KEY, HISTORY_UPDATE)
 

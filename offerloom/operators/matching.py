@@ -165,7 +165,7 @@ def features(df: DataFrame, category: str, encode: Callable[[Column], Column] =
             "battery_type": M.battery_type(raw("product_name")), "battery_type_clean": M.or_unknown(F.lower(M.battery_type(raw("product_name")))),
         }
     df = df.withColumns(out)
-    get = lambda c: F.col(c) if c in df.columns else F.lit(None)
+    get = lambda c: F.col(c) if c in df.columns else F.lit(None).cast("boolean" if c == "studded_clean" else "string")
     category_id = M.category_id(F.lit(category), get("oil_type_clean"), get("season_clean"), get("vehicle_type"), get("studded_clean"), get("filter_type_clean"), get("battery_type"))
     key = M.block_key(F.lit(category), F.col("brand_clean"), [F.col(c) for c in RULES[category].block])
     return df.withColumns({"category_id": category_id, "block_key": key, "vector": encode(F.col("name_clean"))})

@@ -1,6 +1,7 @@
 """Operators on small tables: choices among ties, idempotence, and the paths that no SQL states."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,12 +9,15 @@ from pyspark.sql import functions as F
 from offerloom.functions import cleaning as C
 from offerloom.functions import matching as M
 from offerloom.functions import parsing as P
+from offerloom.functions.embedded import object_after, page_offers, page_state, resolve_refs
 from offerloom.operators import catalog as K
 from offerloom.operators import matching as X
 from offerloom.operators import relational as R
 from offerloom.operators.components import connected_components
+from offerloom.plans.run import Config, run_catalog
 from offerloom.sources import scans as S
 from offerloom.sources import sinks
+from offerloom.sources.paged import PagedListing
 from offerloom.streaming import ingest as I
 
 
@@ -153,3 +157,45 @@ def test_change_stream(spark, tmp_path):
         spark.createDataFrame([("a", 2, 3), ("b", 5, 2)], schema).write.mode("overwrite").json(str(source / "2"))
     found = sorted((r["key"], r["seq"], r["status"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert found == [("a", 1, "new"), ("a", 2, "unchanged"), ("a", 3, "changed"), ("b", 1, "new"), ("b", 2, "unchanged")]
+
+
+def test_paged_listing(spark, tmp_path):
+    for page, ids in ((1, [1, 2]), (2, [2, 3]), (3, [3])):
+        (tmp_path / f"oils-{page}.json").write_text(json.dumps({"items": [{"id": i, "name": f"n{i}"} for i in ids]}))
+    spark.dataSource.register(PagedListing)
+    found = spark.read.format("paged_listing").options(url=f"file://{tmp_path}/{{category}}-{{page}}.json", categories="oils, tires").load()
+    assert sorted((r["category"], r["page"], r["id"], json.loads(r["item"])["name"]) for r in found.collect()) == [("oils", 1, "1", "n1"), ("oils", 1, "2", "n2"), ("oils", 2, "3", "n3")]
+
+
+def test_embedded_state(spark):
+    html = 'x window.State = {"a": "}", "b": {"__ref": "k"}, "k": {"v": 1}}; y'
+    assert json.loads(one(spark, page_state("window.State"), html))["a"] == "}"
+    assert one(spark, page_state("none"), html) is None
+    cache = json.loads(object_after(html, "window.State"))
+    assert resolve_refs(cache["b"], cache) == {"v": 1}
+    flat = json.dumps([{"company": 1, "price": 2, "quantity_in_stock": 3}, {"name": 4}, {"per_unit": 5}, 7, "S", 12.5, {"company": 1, "price": 2, "quantity_in_stock": 3}])
+    assert [tuple(r) for r in one(spark, page_offers(), flat)] == [("S", 12.5, 7)]
+
+
+def test_category_tree_and_price_changes(spark):
+    nodes = spark.createDataFrame([("r", "Root", None), ("b", "B", "r"), ("a", " A ", "r"), ("c", "C", "a"), ("c", "C", "a")], "uid string, title string, parent_uid string")
+    found = {r["source_uid"]: (r["category_id"], r["level"], r["parent_category_id"], r["is_leaf"]) for r in K.category_tree(nodes).collect()}
+    assert found == {"r": (1, 1, None, False), "a": (2, 2, 1, False), "b": (3, 2, 1, True), "c": (4, 3, 2, True)}
+    products = spark.createDataFrame([("p", [(5.0, 2), (4.0, None)], "2024-01-02T03"), ("q", [(1.0, 1)], "2024-01-02")], "id string, offers array<struct<price:double,quantity:long>>, parsed_at string")
+    status = spark.createDataFrame([("p", "changed"), ("q", "unchanged")], "id string, status string")
+    assert [tuple(r) for r in K.price_changes(products, status, ["id"]).collect()] == [("p", 4.0, 2, "2024-01-02")]
+
+
+def test_whole_run(spark, tmp_path):
+    rows = [(k, f"Шина Bosch M{k} 205/55 R16 91V зимняя", "Bosch", str(100 + k), "120") for k in range(6)]
+    raw = spark.createDataFrame(rows, "id int, name string, brand string, price string, old_price string")
+    brands = spark.createDataFrame([("Bosch", "Bosch", 0)], "spelling string, brand string, ord int")
+    oils = spark.createDataFrame([(99, "Масло Castrol EDGE 5W-30 4 л", "Castrol", "5")], "id int, name string, brand string, price string")
+    config = Config("l1", str(tmp_path), {("s1", "tires"): raw, ("s2", "tires"): raw.limit(4), ("s1", "oils"): oils}, brands, F.lit("2024-01-01").cast("timestamp"))
+    for _ in range(2):  # a second run of the same load changes nothing
+        out = run_catalog(spark, config)
+        assert out["sku_source_mapping"].count() == 11 and out["sku_price_history"].count() == 11
+        sizes = [len(r["source_id"]) for r in out["skus"].collect()]
+        assert sum(sizes) == 11 and max(sizes) > 1
+        seasons = out["sku_attribute_values"].filter("attribute = 'season'").select("value").distinct().collect()
+        assert [r["value"] for r in seasons] == ["winter"]
