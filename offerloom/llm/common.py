@@ -69,14 +69,30 @@ def restored(rows: DataFrame, columns: list[str], text_col: str) -> DataFrame:
     return rows.select(*[F.col("text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in columns])
 
 
+_CHUNK = 18
+
+
+def _bitmap_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    chunks: dict[int, np.ndarray] = {}
+    for batch in batches:
+        places = batch.column(0).to_numpy(zero_copy_only=False)
+        for chunk in np.unique(places >> _CHUNK).tolist():
+            flags = chunks.setdefault(chunk, np.zeros(1 << _CHUNK, bool))
+            flags[places[places >> _CHUNK == chunk] & ((1 << _CHUNK) - 1)] = True
+    packed = [np.packbits(flags, bitorder="little").tobytes() for flags in chunks.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(packed, pa.binary())], ["chunk", "bits"])
+
+
 def collect_bitmap(places: DataFrame, bits: int) -> bytes:
-    """A bitmap of ``bits`` bits with those of the column ``place`` set. Its size is the bound of what comes to
-    the driver (a row for each byte), however many rows there are."""
-    byte = places.select((F.col("place") / 8).cast("long").alias("at"), F.expr("shiftleft(1, cast(place % 8 AS int))").alias("value"))
-    found = byte.groupBy("at").agg(F.bit_or("value").alias("value")).toPandas()
-    bitmap = np.zeros(bits >> 3, np.uint8)
-    bitmap[found["at"].to_numpy(np.int64)] = found["value"].to_numpy(np.uint8)
-    return bitmap.tobytes()
+    """A bitmap of ``bits`` bits with those of the column ``place`` set. It is put together in chunks by the executors; its size is
+    the bound of what comes to the driver, however many rows there are."""
+    rows = places.select("place").repartition(F.expr(f"shiftright(place, {_CHUNK})"))
+    found = rows.mapInArrow(_bitmap_chunks, "chunk long, bits binary").toArrow()
+    bitmap = bytearray(max(bits >> 3, 1))
+    for chunk, part in zip(found["chunk"].to_pylist(), found["bits"].to_pylist()):
+        at = chunk << (_CHUNK - 3)
+        bitmap[at : at + len(part)] = part
+    return bytes(bitmap[: bits >> 3])
 
 
 def bitmap_bits(count: int, least: int = 1 << 16, most: int = 1 << 26) -> int:
