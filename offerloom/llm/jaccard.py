@@ -10,10 +10,10 @@ Sketches are compared per size band: m follows the band's power of two, and a do
 also enters the band below. Parts found often while counting over all documents come last in the order (it changes the
 work, never the result), so that common passages don't make large groups of unlike documents.
 
-Candidates: of all nodes that share a part, the least is the group's leader; each node is verified against the leader it
-shares most parts with, which joins large groups of copies at a cost linear in their size. Then nodes of one part's
-group that are still in different trees are paired, filtered by size and by the Hamming distance of dense 512-bit
-sketches, and verified. Verification compares whole shingle sets. No link between different sets is lost, so
+Candidates: trees of linked nodes grow in rounds. In each, every tree tries one pair: the nodes that share most parts among those
+that pair it with the least tree it shares a part with. So a large group of near copies is joined at a cost linear in its
+size. Then all pairs of nodes that share a part and are still in different trees are tried. Sizes and the Hamming distance of
+dense sketches rule out most pairs first; verification compares whole shingle sets. No link between different sets is lost, so
 the components are exact.
 
 Defined results: a null or empty text has no shingles and links with nothing, not even with another empty
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -40,45 +40,100 @@ from .common import bitmap_bits, bitmap_filter, carried, collect_bitmap, materia
 WORDS = 5
 #: Parts counted this often within one task are reported as frequent; at most so many of them are broadcast.
 OFTEN, FREQUENT = 4, 1 << 18
+#: Rounds in which trees of linked nodes grow by one pair each, before all pairs between different trees are tried.
+ROUNDS = 3
 #: Members that one task compares with a leader, about.
 MEMBERS = 2000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_REMEMBERED = 500_000
 _FLUSH = 1 << 21
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _REMEMBERED:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-def shingle_set(raw: bytes | None, hashes: dict, size: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the runs of ``size`` words."""
-    words = (raw or b"").lower().split()
-    n = len(words)
-    if not n:
-        return np.zeros(0, np.uint64)
-    codes = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-    take = min(size, n)
-    runs = codes[: n - take + 1].copy()
-    for k in range(1, take):
-        runs = runs * _FACTOR + codes[k : n - take + 1 + k]
-    return np.unique(mix64(runs + np.uint64(take)))
+#: Bytes hashed at once; a longer text is read in parts cut between words.
+PART = 1 << 17
+#: A-Z become small, white space a blank.
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
+
+
+def _codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of folded texts, and the number of words of each text."""
+    data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+    inside = data != 32
+    starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    first = np.zeros(len(data), np.int32)
+    first[starts] = starts
+    place = np.arange(len(data), dtype=np.int32) - np.maximum.accumulate(first)
+    place[~inside] = 0
+    weights = mix64(np.arange(1, int(place.max()) + 2, dtype=np.uint64) * _FACTOR) | np.uint64(1)
+    values = (data.astype(np.uint64) + np.uint64(1)) * weights[place]
+    values[~inside] = 0
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64) + 1)
+    return mix64(np.add.reduceat(values, starts)), np.diff(np.searchsorted(starts, ends, side="right"), prepend=0)
+
+
+def _sets(codes: np.ndarray, counts: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    runs = codes[: max(0, len(codes) - size + 1)].copy()
+    for k in range(1, size):
+        runs = runs * _FACTOR + codes[k : k + len(runs)]
+    runs = mix64(runs + np.uint64(size))
+    at = 0
+    for n in counts.tolist():
+        if n >= size:
+            yield np.unique(runs[at : at + n - size + 1])
+        elif n:
+            whole = np.uint64(0)
+            for code in codes[at : at + n]:
+                whole = np.uint64((int(whole) * int(_FACTOR) + int(code)) & 0xFFFFFFFFFFFFFFFF)
+            yield mix64(np.array([whole], np.uint64) + np.uint64(n))
+        else:
+            yield np.zeros(0, np.uint64)
+        at += n
+
+
+def shingle_sets(raws: list[bytes | None], size: int = WORDS) -> Iterator[np.ndarray]:
+    """Per text, the sorted distinct 64-bit hashes of its runs of ``size`` words; of all its words, if they are fewer."""
+    held, total = [], 0
+    for raw in raws:
+        raw = (raw or b"").translate(_FOLD)
+        if held and total + len(raw) > PART:
+            yield from _sets(*_codes(held), size)
+            held, total = [], 0
+        if len(raw) <= 2 * PART:
+            held.append(raw)
+            total += len(raw)
+            continue
+        parts, at = [], 0
+        while at < len(raw):
+            end = raw.find(b" ", at + PART)
+            end = len(raw) if end < 0 else end
+            parts.append(_codes([raw[at:end]])[0])
+            at = end
+        codes = np.concatenate(parts)
+        yield from _sets(codes, np.array([len(codes)]), size)
+    if held:
+        yield from _sets(*_codes(held), size)
+
+
+def text_key(raw: bytes | None) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(raw or b""))
+
+
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
 
 
 def fingerprint(shingles: np.ndarray) -> int:
     """The node number of a set: 64 bits, the same for any order."""
     total = int(np.sum(mix64(shingles ^ np.uint64(0xD6E8FEB86659FD93)), dtype=np.uint64))
-    value = xxhash.xxh3_64_intdigest(total.to_bytes(8, "little") + len(shingles).to_bytes(8, "little"))
-    return value - (1 << 64) if value >> 63 else value
+    return _signed(xxhash.xxh3_64_intdigest(total.to_bytes(8, "little") + len(shingles).to_bytes(8, "little")))
 
 
 def dense_sketch(shingles: np.ndarray) -> np.ndarray:
-    """512 parity bits, as eight 64-bit words."""
-    odd = np.bincount((shingles >> np.uint64(9) & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    """Parity bits, as 64-bit words: a power of two of them, at least as many bits as shingles and 512. Sketches of sets whose
+    sizes are near differ in length by a factor of two at most; XOR of its halves folds the longer one."""
+    bits = max(512, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else 512
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -97,34 +152,40 @@ def bands(n: int) -> list[tuple[int, int]]:
     return [(band, count) for band, count in out if count > 1]  # 1: only equal sets, which are one node
 
 
-def parts_of(shingles: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the parts that hold shingles, and of those that hold none, of the sketch for ``band``."""
-    m = max(64, 2 << band)
-    place = (shingles & np.uint64(m - 1)).astype(np.int64)
-    order = np.argsort(place, kind="stable")
-    place, codes = place[order], mix64(shingles[order] >> np.uint64(32))
+def parts_of(shingles: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the parts that hold shingles, how many, and keys of the parts that hold none, of the sketch for ``band``."""
+    m = max(16, 1 << band)
+    place = (shingles >> np.uint64(65 - m.bit_length())).astype(np.int64)  # the top bits: sorted like the shingles
     starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    words = np.bitwise_xor.reduceat(codes, starts)
+    words = np.bitwise_xor.reduceat(mix64(shingles & np.uint64(0xFFFFFFFF)), starts)
     names = mix64(np.arange(m, dtype=np.uint64) + np.uint64(band << 40))
     held = place[starts]
     free = np.ones(m, bool)
     free[held] = False
-    return mix64(words + names[held]), mix64(names[free])
+    return mix64(words + names[held]), np.diff(np.append(starts, len(shingles))), mix64(names[free])
 
 
-def indexed_parts(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first parts in the common order: rare ones first, parts without shingles last."""
-    keys, counts = frequent
+def frequent_parts(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys, their counts, and flags by the keys' low bits."""
+    order = np.argsort(keys)
+    flags = np.zeros(1 << 22, bool)
+    flags[(keys & np.uint64(len(flags) - 1)).astype(np.int64)] = True
+    return keys[order], counts[order], flags
+
+
+def indexed_parts(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first parts in the common order: rare ones first, of those the fullest (chance or a common passage seldom fills
+    a part with the same few shingles), parts without shingles last."""
+    keys, counts, flags = frequent
     out = []
     for band, take in bands(len(shingles)):
-        held, free = parts_of(shingles, band)
+        held, sizes, free = parts_of(shingles, band)
+        weight = np.zeros(len(held), np.int64)
         if len(keys):
-            at = np.minimum(np.searchsorted(keys, held), len(keys) - 1)
-            weight = np.where(keys[at] == held, counts[at], 0)
-            held = held[np.lexsort((held, weight))]
-        else:
-            held = np.sort(held)
-        out.append(held[:take])
+            maybe = np.flatnonzero(flags[(held & np.uint64(len(flags) - 1)).astype(np.int64)])  # spares most searches
+            at = np.minimum(np.searchsorted(keys, held[maybe]), len(keys) - 1)
+            weight[maybe] = np.where(keys[at] == held[maybe], counts[at], 0)
+        out.append(held[np.lexsort((held, -sizes, weight))[:take]])
         if len(held) < take:
             out.append(np.sort(free)[: take - len(held)])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
@@ -135,23 +196,23 @@ def _texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
 
 
 def _first_scan(size: int):
-    """Per document (id, n, node, sketch), and (part, n) for parts that are frequent in this task."""
+    """Per document (id, n, node, sketch, text key), and (part, n) for parts that are frequent in this task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, held, kind = _Hashes(), set(), [], None
-        names = ["id", "n", "node", "sketch", "part"]
+        seen, held, kind = set(), [], None
+        names = ["id", "n", "node", "sketch", "key", "part"]
 
         def flush() -> pa.RecordBatch:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
             keys, counts = keys[counts >= OFTEN], counts[counts >= OFTEN]
             none = lambda t: pa.nulls(len(keys), t)
-            return pa.RecordBatch.from_arrays([none(kind), pa.array(counts, pa.int64()), none(pa.int64()), none(pa.list_(pa.int64())), pa.array(keys.view(np.int64))], names)
+            return pa.RecordBatch.from_arrays([none(kind), pa.array(counts, pa.int64()), none(pa.int64()), none(pa.list_(pa.int64())), none(pa.int64()), pa.array(keys.view(np.int64))], names)
 
         for batch in batches:
             kind = batch.column(0).type
             counts, nodes, sketches = [], [], []
-            for raw in _texts(batch):
-                shingles = shingle_set(raw, hashes, size)
+            raws = _texts(batch)
+            for shingles in shingle_sets(raws, size):
                 node = fingerprint(shingles) if len(shingles) else None
                 counts.append(len(shingles))
                 nodes.append(node)
@@ -160,7 +221,7 @@ def _first_scan(size: int):
                     seen.add(node)
                     held += [parts_of(shingles, band)[0] for band, _ in bands(len(shingles))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.nulls(len(counts), pa.int64())], names
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(map(text_key, raws), pa.int64()), pa.nulls(len(counts), pa.int64())], names
             )
             if sum(map(len, held)) > _FLUSH:
                 yield flush()
@@ -175,14 +236,13 @@ def _part_scan(shared, size: int):
     """(part, node) for the indexed parts; copies within a task are sent once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = _Hashes(), set()
+        seen, frequent = set(), frequent_parts(*shared.value)
         for batch in batches:
             parts, nodes = [], []
-            for raw in _texts(batch):
-                shingles = shingle_set(raw, hashes, size)
+            for shingles in shingle_sets(_texts(batch), size):
                 if len(shingles) and (node := fingerprint(shingles)) not in seen:
                     seen.add(node)
-                    parts.append(indexed_parts(shingles, shared.value))
+                    parts.append(indexed_parts(shingles, frequent))
                     nodes.append(np.full(len(parts[-1]), node, np.int64))
                 if sum(map(len, parts[-64:])) > _FLUSH:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.concatenate(nodes))], ["part", "node"])
@@ -194,22 +254,21 @@ def _part_scan(shared, size: int):
 
 
 def _set_scan(shared, size: int):
-    """(node, shingles) of the nodes in a bitmap; copies within a task are sent once."""
+    """(key, shingles) of the texts whose key is in a bitmap; copies within a task are sent once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, bits = shared.value
-        hashes, seen = _Hashes(), set()
+        seen: set[int] = set()
         for batch in batches:
-            nodes, sets = [], []
+            wanted: dict[int, bytes] = {}
             for raw in _texts(batch):
-                shingles = shingle_set(raw, hashes, size)
-                if len(shingles) and (node := fingerprint(shingles)) not in seen:
-                    at = node & (bits - 1)
-                    if bitmap[at >> 3] >> (at & 7) & 1:
-                        seen.add(node)
-                        nodes.append(node)
-                        sets.append(shingles.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+                key = text_key(raw)
+                at = key & (bits - 1)
+                if bitmap[at >> 3] >> (at & 7) & 1 and key not in seen:
+                    seen.add(key)
+                    wanted[key] = raw
+            sets = [found.view(np.int64) for found in shingle_sets(list(wanted.values()), size)]
+            yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["key", "shingles"])
 
     return run
 
@@ -236,19 +295,33 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(leaders, pa.int64()), pa.array(members, pa.int64())], ["leader", "node"])
 
 
-def _verify(texts: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """The pairs (leader, node) whose sets are similar enough. A leader with many members is copied to several
-    shares of them, so that no task gets all of a large group."""
+def _distance(a: str, b: str) -> Column:
+    """Hamming distance of two dense sketches, of equal lengths once the longer one is folded."""
+    fold = lambda x, y: f"CASE WHEN size({x}) > size({y}) THEN zip_with(slice({x}, 1, size({y})), slice({x}, size({y}) + 1, size({y})), (p, q) -> p ^ q) ELSE {x} END"
+    return F.expr(f"aggregate(zip_with({fold(a, b)}, {fold(b, a)}, (p, q) -> cast(bit_count(p ^ q) AS long)), 0L, (s, x) -> s + x)")
+
+
+def _possible(sizes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (leader, node) whose sizes and sketches don't rule out the similarity. Both are cheap and lose no pair."""
+    side = lambda name: sizes.select(F.col("node").alias(name), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
+    rows = pairs.join(side("leader"), "leader").join(side("node"), "node")
+    rows = rows.filter("5 * leader_n >= 4 * node_n AND 5 * node_n >= 4 * leader_n")
+    return rows.filter(9 * _distance("leader_sketch", "node_sketch") <= F.col("leader_n") + F.col("node_n")).select(*pairs.columns)
+
+
+def _verify(texts: DataFrame, sizes: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """The pairs (leader, node) whose sets are similar enough. One text of each node is read again. A leader with many
+    members is copied to several shares of them, so that no task gets all of a large group."""
     spark = texts.sparkSession
-    wanted = pairs.select(F.col("leader").alias("node")).union(pairs.select("node")).distinct()
-    bits = bitmap_bits(wanted.count())
-    bitmap = collect_bitmap(wanted.select(F.col("node").bitwiseAND(F.lit(bits - 1)).alias("place")), bits)
-    shared = spark.sparkContext.broadcast((bitmap, bits))
-    sets = texts.mapInArrow(_set_scan(shared, size), "node long, shingles array<long>")
     per = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("shares"))
     members = pairs.join(per, "leader").select("leader", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int").alias("share"), F.lit(True).alias("member"), "node")
     leaders = per.select("leader", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(False).alias("member"), F.col("leader").alias("node"))
-    rows = members.unionByName(leaders).join(sets, "node").select("leader", "share", "member", "node", "shingles")
+    wanted = materialize(members.unionByName(leaders).join(sizes.select("node", "key"), "node"), "wanted")
+    keys = wanted.select("key").distinct()
+    bits = bitmap_bits(keys.count())
+    shared = spark.sparkContext.broadcast((collect_bitmap(keys.select(F.col("key").bitwiseAND(F.lit(bits - 1)).alias("place")), bits), bits))
+    sets = texts.mapInArrow(_set_scan(shared, size), "key long, shingles array<long>")
+    rows = wanted.join(sets, "key").select("leader", "share", "member", "node", "shingles")
     rows = rows.repartition("leader", "share").sortWithinPartitions("leader", "share", "member", "node")
     return rows.mapInArrow(_compare, "leader long, node long")
 
@@ -269,43 +342,63 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = rows.select("text")
-    schema = T.StructType([rows.schema["id"], *T.DataType.fromDDL("n long, node long, sketch array<long>, part long").fields])
+    schema = T.StructType([rows.schema["id"], *T.DataType.fromDDL("n long, node long, sketch array<long>, key long, part long").fields])
     scanned = materialize(rows.mapInArrow(_first_scan(size), schema), "documents")
     about = scanned.filter(F.col("part").isNull())
     often = scanned.filter(F.col("part").isNotNull()).groupBy("part").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "part").limit(FREQUENT).toPandas()
-    keys = often["part"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    shared = spark.sparkContext.broadcast((keys[order], often["n"].to_numpy(np.int64)[order]))
+    shared = spark.sparkContext.broadcast((often["part"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64)))
 
     parts = texts.mapInArrow(_part_scan(shared, size), "part long, node long")
     group = Window.partitionBy("part")
     parts = parts.withColumns({"leader": F.min("node").over(group), "last": F.max("node").over(group)})
-    parts = materialize(parts.filter("leader <> last").select("part", "node", "leader").distinct(), "shared_parts")
-    votes = parts.filter("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"))
-    best = votes.groupBy("node").agg(F.max(F.struct("n", (-F.col("leader")).alias("leader"))).alias("best"))
-    stars = materialize(best.select((-F.col("best.leader")).alias("leader"), "node"), "stars")
-    edges = materialize(_verify(texts, stars, size), "star_links")
-    roots = _roots(edges)
-
-    placed = parts.join(roots, "node", "left").select("part", "node", F.coalesce("root", "node").alias("root"))
+    parts = materialize(parts.filter("leader <> last").select("part", "node").distinct(), "shared_parts")
+    paired = parts.select("node").distinct()
+    sizes = about.join(paired, "node").groupBy("node").agg(F.min(F.struct("key", "n", "sketch")).alias("text")).select("node", "text.*")
+    sizes = materialize(sizes, "sizes")
+
+    label = tested = None
+    rooted = lambda: (
+        parts.withColumn("root", F.col("node")) if label is None else parts.join(label, "node", "left").select("part", "node", F.coalesce("component", "node").alias("root"))
+    )
+    for _ in range(ROUNDS):
+        # each tree tries one pair with the least tree that it shares a part with: linear in the rows, whatever a group's size
+        placed = rooted().withColumns({"head": F.min(F.struct("root", "node")).over(group), "most": F.max("root").over(group)}).filter("head.root <> root AND head.root <> most")
+        votes = placed.groupBy(F.col("head.node").alias("leader"), "node").agg(F.count(F.lit(1)).alias("votes"), F.min("root").alias("root"), F.min("head.root").alias("top"))
+        votes = votes if tested is None else votes.join(tested.select("leader", "node"), ["leader", "node"], "left_anti")
+        best = _possible(sizes, votes).groupBy("root").agg(F.max(F.struct("votes", (-F.col("leader")).alias("leader"), "node", "top")).alias("best"))
+        now = materialize(best.select("root", (-F.col("best.leader")).alias("leader"), "best.node", "best.top"), "stars")
+        if now.isEmpty():
+            break
+        links = materialize(_verify(texts, sizes, now.select("leader", "node"), size).join(now, ["leader", "node"]).select("root", "top"), "links")
+        if links.isEmpty():
+            break
+        tested = now if tested is None else tested.unionByName(now)
+        up = _roots(links.select(F.col("root").alias("node"), F.col("top").alias("leader"))).withColumnRenamed("root", "component")
+        if label is None:
+            label = up
+        else:
+            moved = label.join(up.select(F.col("node").alias("component"), F.col("component").alias("joint")), "component", "left")
+            grown = moved.select("node", F.coalesce("joint", "component").alias("component")).unionByName(up.join(label, "node", "left_anti"))
+            label = materialize(grown, "labels")
+
+    placed = rooted()
     placed = placed.withColumns({"least": F.min("root").over(group), "most": F.max("root").over(group)}).filter("least <> most").select("part", "node", "root")
-    sizes = about.filter(F.col("node").isNotNull()).groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    placed = placed.join(sizes, "node")
-    a, b = (placed.select("part", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n", "sketch"))) for k in "ab")
-    distance = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
-    near = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
-    near &= (5 * F.col("n_a") >= 4 * F.col("n_b")) & (5 * F.col("n_b") >= 4 * F.col("n_a")) & (9 * distance <= F.col("n_a") + F.col("n_b"))
-    cross = materialize(a.join(b, "part").filter(near).select(F.col("node_a").alias("leader"), F.col("node_b").alias("node")).distinct(), "cross_pairs")
-    label = roots.withColumnRenamed("root", "component")
+    placed = placed.join(sizes.select("node", "n"), "node")
+    a, b = (placed.select("part", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n"))) for k in "ab")
+    near = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & (5 * F.col("n_a") >= 4 * F.col("n_b")) & (5 * F.col("n_b") >= 4 * F.col("n_a"))
+    cross = a.join(b, "part").filter(near).select(F.col("node_a").alias("leader"), F.col("node_b").alias("node"), "root_a", "root_b").distinct()
+    cross = cross if tested is None else cross.join(tested.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")), ["leader", "node"], "left_anti")
+    cross = materialize(_possible(sizes, cross), "cross_pairs")
     if not cross.isEmpty():
-        links = materialize(_verify(texts, cross, size), "cross_links")
-        side = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-        links = links.join(side("leader"), "leader", "left").join(side("node"), "node", "left")
-        joined = connected_components(links.select(F.coalesce("leader_root", "leader").alias("x"), F.coalesce("node_root", "node").alias("y")), "x", "y")
-        up = joined.select(F.col("node").alias("component"), F.col("component").alias("joint"))
-        whole = label.join(up, "component", "left").select("node", F.coalesce("joint", "component").alias("component"))
-        label = whole.unionByName(joined).groupBy("node").agg(F.min("component").alias("component"))
-    label = materialize(label, "labels")
+        links = _verify(texts, sizes, cross.select("leader", "node"), size).join(cross, ["leader", "node"])
+        up = connected_components(links, "root_a", "root_b").select("node", F.col("component").alias("joint"))
+        if label is None:
+            label = up.withColumnRenamed("joint", "component")
+        else:
+            moved = label.join(up.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("joint", "component").alias("component"))
+            label = moved.unionByName(up.withColumnRenamed("joint", "component").join(label, "node", "left_anti"))
+        label = materialize(label, "labels")
+    label = parts.select("node", F.col("node").alias("component")).limit(0) if label is None else label
     named = about.select("id", "n", "node").join(label, "node", "left").select("id", "n", F.coalesce("component", "node").alias("group"))
     heads = named.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min("id").alias("head"))
     out = named.join(heads, "group", "left")
@@ -328,7 +421,7 @@ def keep_one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     plain = rows.mapInArrow(bitmap_filter(shared, "id", False), rows.schema).select("doc", "text")
     marked = rows.mapInArrow(bitmap_filter(shared, "id", True), rows.schema).join(listed, "id", "left")
     chance = marked.filter(F.col("stays").isNull()).select("doc", "text")
-    repeated = marked.filter("stays").groupBy("id").agg(F.min_by(F.struct("doc", "text"), F.sha2(F.col("text").cast("binary"), 256)).alias("row"))
+    repeated = marked.filter("stays").groupBy("id").agg(F.min_by(F.struct("doc", "text"), F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))).alias("row"))
     return restored(plain.unionByName(chance).unionByName(repeated.select("row.*")), docs.columns, text_col)
 
 
