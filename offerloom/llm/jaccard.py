@@ -383,12 +383,14 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     placed = rooted()
     placed = placed.withColumns({"least": F.min("root").over(group), "most": F.max("root").over(group)}).filter("least <> most").select("part", "node", "root")
-    placed = placed.join(sizes.select("node", "n"), "node")
-    a, b = (placed.select("part", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n"))) for k in "ab")
+    placed = placed.join(sizes.select("node", "n", "sketch"), "node")
+    a, b = (placed.select(F.col("part").alias(f"part_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n", "sketch"))) for k in "ab")
+    # the whole filter is the join's own condition: a pair that it rules out is never a row
     near = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & (5 * F.col("n_a") >= 4 * F.col("n_b")) & (5 * F.col("n_b") >= 4 * F.col("n_a"))
-    cross = a.join(b, "part").filter(near).select(F.col("node_a").alias("leader"), F.col("node_b").alias("node"), "root_a", "root_b").distinct()
+    near &= 9 * _distance("sketch_a", "sketch_b") <= F.col("n_a") + F.col("n_b")
+    cross = a.join(b, (F.col("part_a") == F.col("part_b")) & near).select(F.col("node_a").alias("leader"), F.col("node_b").alias("node"), "root_a", "root_b").distinct()
     cross = cross if tested is None else cross.join(tested.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")), ["leader", "node"], "left_anti")
-    cross = materialize(_possible(sizes, cross), "cross_pairs")
+    cross = materialize(cross, "cross_pairs")
     if not cross.isEmpty():
         links = _verify(texts, sizes, cross.select("leader", "node"), size).join(cross, ["leader", "node"])
         up = connected_components(links, "root_a", "root_b").select("node", F.col("component").alias("joint"))
