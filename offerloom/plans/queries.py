@@ -42,7 +42,6 @@ PAIRS = f"""
 SELECT a.block_key, a.sku_id AS sku_1, b.sku_id AS sku_2, a.source AS source_1, b.source AS source_2, a.part AS part_1, b.part AS part_2, a.product_name AS name_1, b.product_name AS name_2
 FROM ({KEYED}) a JOIN ({KEYED}) b ON a.block_key = b.block_key AND a.sku_id < b.sku_id AND a.source <> b.source
 JOIN (SELECT block_key FROM ({KEYED}) k GROUP BY block_key HAVING count(*) BETWEEN 2 AND 12 AND count(DISTINCT source) >= 2) s ON s.block_key = a.block_key"""
-CAP = 12
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,7 +69,7 @@ def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str, carry: tuple[str, ...] = ("part", "product_name")) -> DataFrame:
-    return X.candidate_pairs(keyed(spark, sf_dir), carry=carry, max_block=CAP)
+    return X.candidate_pairs(keyed(spark, sf_dir), carry=carry)
 
 
 QUERIES: dict = {}
