@@ -130,8 +130,7 @@ def price_history(spark, d):
   CASE WHEN n.source IS NOT NULL THEN n.discount_price ELSE o.discount_price END AS discount_price
   FROM o FULL JOIN n ON o.source = n.source AND o.source_product_id = n.source_product_id AND o.captured_at = n.captured_at""")
 def _(spark, d):
-    before = "loaded_at < TIMESTAMP '1996-01-01'"
-    return K.upsert_history(history(spark, d, f"{before} AND part % 3 = 0"), history(spark, d, before).withColumn("price", F.col("price") + 1)).select(*HISTORY_COLUMNS)
+    return K.upsert_history(history(spark, d, "loaded_at < TIMESTAMP '1996-01-01'"), history(spark, d).withColumn("price", F.col("price") + 1)).select(*HISTORY_COLUMNS)
 
 
 @query("top_n_per_group", "SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) r WHERE rn <= 3")

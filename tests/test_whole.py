@@ -4,6 +4,7 @@ import datetime as dt
 from collections import defaultdict
 
 import pytest
+from tests.oracle import DATA, same
 
 from offerloom.operators import matching as X
 from offerloom.plans import queries as engine
@@ -38,3 +39,13 @@ def test_offers_of_large_blocks_are_mapped(spark, blocks):
     assert len(found) == 4 * (3 + 4 + 10 + 62 + 63)
     single = {r["source_product_id"] for r in found if r["match_method"] == "single_source"}
     assert single == {str(63000 + k) for k in range(63)}
+
+
+def test_upsert_takes_the_history_of_all_offers(spark):
+    """Old: the history before 1996; new: that of all offers, a unit dearer. No date cuts the new side."""
+    old, new = (engine._history(where) for where in ("loaded_at < TIMESTAMP '1996-01-01'", "true"))
+    stated = f"""WITH o AS ({old}), n AS (SELECT * REPLACE (price + 1 AS price) FROM ({new}) x)
+      SELECT n.captured_at, COALESCE(o.price_date, n.price_date) AS price_date, n.sku_id, n.source, n.source_product_id, COALESCE(o.seller_name, n.seller_name) AS seller_name,
+      n.price, n.old_price, n.discount_price FROM n LEFT JOIN o USING (source, source_product_id, captured_at)"""
+    same(spark, engine.QUERIES["price_history_upsert"], stated)
+    assert engine.QUERIES["price_history_upsert"](spark, DATA).filter("captured_at >= TIMESTAMP '1996-01-01'").count() > 4000
