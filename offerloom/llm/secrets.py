@@ -6,7 +6,8 @@ that would take at least ``10 ** least_cost`` guesses are reported as kind ``gue
 step: cheap byte searches decide whether a pattern can occur at all before a regular expression runs.
 
 Defined results: a null or empty text has no spans; every row is scanned by itself, so repeated rows get
-equal results; offsets are code points, ends exclusive; columns other than id and text are ignored.
+equal results; offsets are code points, ends exclusive; columns other than id and text are ignored. A value that
+one fixed-pattern span holds whole isn't reported again; one that reaches beyond it is, and redaction takes the union.
 """
 
 from __future__ import annotations
@@ -126,7 +127,7 @@ def find_spans(raw: bytes | None, least_cost: float) -> list[tuple[int, int, int
             start, end = m.span(1)
             value = m[1]
             mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-            if mixed and not any(a < end and start < b for a, b in known) and guess_cost(value)[0] >= least_cost:
+            if mixed and not any(a <= start and end <= b for a, b in known) and guess_cost(value)[0] >= least_cost:
                 spans.append((start, 3, end))
     return sorted(spans)
 
