@@ -27,10 +27,15 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
-#: Words that make what follows a credential, wider than the assign pattern's.
+#: A bare word ends here: no letter follows, or the capital of a next word (passValue).
+_END = r"(?:(?![a-z])|(?-i:(?<=[a-z])(?=[A-Z])))"
+#: Names of credentials, wider than the assign pattern's: one of the words, with letters, digits, _ and - around it. Left out are
+#: ordinary words that only begin or end alike: passage, author, compass, secretary, tokenizer.
+#: Each name is looked at once, so a long run of letters costs no more.
 CONTEXT = re.compile(
-    r"""(?ai)\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|(?:access|private|client)[_-]?key|credentials?|auth|bearer)\b"""
-    r"""["']?\x20{0,8}(?:[:=]|\bis\b)\x20{0,8}["']?([^\s"'<>,;]{6,})"""
+    rf"""(?ai)(?<![\w-])(?=[\w-]*?(?:pass(?:word|wd|phrase|code|key)|(?<!com)pass{_END}|pwd|secret(?!(?-i:ar|AR))|token(?!(?-i:i[sz]|I[SZ]))"""
+    rf"""|api[_-]?key|(?:secret|access|private|client)[_-]?key|credential|authkey|auth{_END}|bearer))[\w-]++"""
+    r"""["']?\x20{0,8}([:=]|\bis\b)\x20{0,8}["']?([^\s"'<>,;]{6,})"""
 )
 _ASSIGN_HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _CONTEXT_HINTS = (b"pass", b"pwd", b"secret", b"token", b"key", b"credential", b"auth", b"bearer")
@@ -124,10 +129,11 @@ def find_spans(raw: bytes | None, least_cost: float) -> list[tuple[int, int, int
     if context:
         known = sorted((start, end) for start, _, end in spans)
         for m in CONTEXT.finditer(text):
-            start, end = m.span(1)
-            value = m[1]
-            mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-            if mixed and not any(a <= start and end <= b for a, b in known) and guess_cost(value)[0] >= least_cost:
+            start, end = m.span(2)
+            value = m[2]
+            # after "is" comes prose as well: there, only letters and digits together make a credential
+            likely = m[1] in ":=" or any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+            if likely and not any(a <= start and end <= b for a, b in known) and guess_cost(value)[0] >= least_cost:
                 spans.append((start, 3, end))
     return sorted(spans)
 
