@@ -95,9 +95,10 @@ MAP = f"""SELECT source, source_product_id, sku_id FROM (SELECT *, row_number()
   FROM (SELECT source, source_product_id, 'm' || (part % 97) AS sku_id, round(price / 100000, 3) AS match_score FROM ({OFFERS}) o WHERE part % 5 <> 0) m) r WHERE rn = 1"""
 
 
-def sku_map(spark: SparkSession, d: str) -> DataFrame:
-    rows = offers(spark, d).filter("part % 5 <> 0")
-    return K.best_sku(rows.select("source", "source_product_id", F.concat(F.lit("m"), (F.col("part") % 97).cast("string")).alias("sku_id"), F.round(F.col("price") / 100000, 3).alias("match_score")))
+def sku_map(spark: SparkSession, d: str, mapped: str = "true") -> DataFrame:
+    """The best master of each offer; where ``mapped`` is false, an offer has none."""
+    master = F.when(F.expr(mapped), F.concat(F.lit("m"), (F.col("part") % 97).cast("string")))
+    return K.best_sku(offers(spark, d).select("source", "source_product_id", master.alias("sku_id"), F.round(F.col("price") / 100000, 3).alias("match_score")))
 
 
 @query("sku_map_best", MAP)
@@ -116,7 +117,7 @@ HISTORY_COLUMNS = ["captured_at", "price_date", "sku_id", "source", "source_prod
 
 
 def history(spark: SparkSession, d: str, where: str = "true") -> DataFrame:
-    return K.price_history(offers(spark, d).filter(where), sku_map(spark, d), F.lit("1970-01-01").cast("timestamp_ntz"))
+    return K.price_history(offers(spark, d).filter(where), sku_map(spark, d, "part % 5 <> 0"), F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 @query("price_history", _history())

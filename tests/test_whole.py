@@ -49,3 +49,10 @@ def test_upsert_takes_the_history_of_all_offers(spark):
       n.price, n.old_price, n.discount_price FROM n LEFT JOIN o USING (source, source_product_id, captured_at)"""
     same(spark, engine.QUERIES["price_history_upsert"], stated)
     assert engine.QUERIES["price_history_upsert"](spark, DATA).filter("captured_at >= TIMESTAMP '1996-01-01'").count() > 4000
+
+
+@pytest.mark.parametrize("name", ["sku_map_best", "attribute_mode_eav"])
+def test_all_offers_are_mapped(spark, name):
+    same(spark, engine.QUERIES[name], engine.ORACLES[name].replace(" WHERE part % 5 <> 0", ""))
+    if name == "sku_map_best":
+        assert engine.QUERIES[name](spark, DATA).count() == engine.latest(spark, DATA).count()
