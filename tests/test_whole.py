@@ -56,3 +56,10 @@ def test_all_offers_are_mapped(spark, name):
     same(spark, engine.QUERIES[name], engine.ORACLES[name].replace(" WHERE part % 5 <> 0", ""))
     if name == "sku_map_best":
         assert engine.QUERIES[name](spark, DATA).count() == engine.latest(spark, DATA).count()
+
+
+def test_cleaning_keeps_every_product(spark):
+    """One row for each of the 2000 parts of sf0.01, those that come twice in the load too."""
+    path = DATA.replace("sf0.001", "sf0.01")
+    same(spark, engine.QUERIES["clean_table"], engine.ORACLES["clean_table"].replace("p_partkey % 500", "p_partkey"), path)
+    assert engine.QUERIES["clean_table"](spark, path).count() == spark.read.parquet(f"{path}/part.parquet").count()
