@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,32 @@ def blocks(offsets: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int,
         at = end
 
 
+def release() -> None:
+    """Give memory that a kernel no longer uses back to the system: workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def bounded(kernel: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], column: int, most: int = 4 * BLOCK_BYTES):
+    """The kernel, fed with slices that hold at most ``most`` bytes of a text column (a longer row stands alone), whatever
+    the size of the batches; so what it makes of a slice is bounded as well. It must treat rows alike in any batch."""
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in blocks(binary_parts(batch.column(column))[1], most):
+                yield batch.slice(a, b - a)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from kernel(slices(batches))
+        finally:
+            release()
+
+    return run
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on uint64 (splitmix64)."""
     x = x.astype(np.uint64, copy=True)

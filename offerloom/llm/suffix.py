@@ -4,10 +4,11 @@ Every ``length``-byte window has one anchor: its ``GRAM``-byte substring with th
 windows have equal anchors at equal offsets, wherever they stand, so the suffixes that begin at anchors, bucketed by
 their first GRAM bytes, hold every repeat of ``length`` bytes or more within one bucket. A first scan counts the anchors'
 hashes; those seen once can't repeat. A second one sends the others' contexts, the bytes of all windows that have this anchor,
-to their bucket; a context that its task has sent before from an earlier place is reported as removed at once, so that
-copies and common passages are collapsed before the shuffle.
+to their bucket. Equal contexts need no tree: one whose 128-bit hash its task has sent before from an earlier place is reported
+as removed at once, so that copies and common passages are collapsed before the shuffle, and a bucket holds equal ones once.
+The contexts of very frequent anchors are split by ranges of offsets, so that a bucket stays small whatever surrounds them.
 
-In a bucket the suffixes are sorted and their common prefixes scanned with a stack, which gives the tree of common-prefix
+In a bucket the suffixes of the different contexts are sorted and their common prefixes scanned with a stack, which gives the tree of common-prefix
 intervals. The members of an interval are then split by left-extension diversity: as far as their left contexts agree they
 are one maximal repeat group with all its occurrences; where they differ, the group ends and its parts go on. Of each group
 the earliest occurrence stays, and the windows of all others are removed.
@@ -29,13 +30,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binary_parts, bitmap_bits, blocks, collect_bitmap, materialize, mix64, table
+from .common import binary_parts, bitmap_bits, blocks, bounded, collect_bitmap, materialize, mix64, table
 
 LENGTH, GRAM = 100, 32
 #: Bytes of a text handled at once; a longer text is read in pieces that overlap by a window.
 PIECE = 1 << 17
 #: Contexts that a task remembers for collapsing repeats before the shuffle.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
+#: Rows of contexts that a task holds before it sends them.
+ROWS = 10_000
+#: Offsets of the anchor that share a context where the anchor is very frequent, and what that means: this many occurrences,
+#: or a share of all so large that no more than 2**15 anchors can have it, which bounds what is broadcast.
+SEGMENT, HOT, HOT_SHARE = 8, 1000, 1 << 15
 _LAST = (1 << 63) - 1
 _POSITION = np.uint64(0xFFFFFFFF)
 
@@ -108,18 +114,47 @@ def text_key(raw: bytes) -> int:
     return _signed(xxhash.xxh3_64_intdigest(raw))
 
 
+def segments(length: int) -> list[tuple[int, int]]:
+    """Ranges of offsets of the anchor in a window, for splitting what a very frequent anchor has around it."""
+    return [(low, min(low + SEGMENT, length - GRAM + 1) - 1) for low in range(0, length - GRAM + 1, SEGMENT)]
+
+
 def _send_contexts(shared, length: int):
-    """Contexts of repeated anchors; where the same one was sent from an earlier place, only its extent, to be removed."""
+    """Contexts of repeated anchors; where the same one was sent from an earlier place, only its extent, to be removed.
+
+    Around a very frequent anchor, each range of offsets has a context of its own, of only the bytes of its windows. It goes
+    to the bucket of the bytes that all its windows have in common, so that neither a bucket nor a context grows with what
+    else surrounds the anchor; equal windows still meet, for they agree in those bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap, bits = shared.value
-        bitmap = np.frombuffer(bitmap, np.uint8)
+        bitmap, bits, hot = shared.value
+        bitmap, parts = np.frombuffer(bitmap, np.uint8), segments(length)
         sent: dict[bytes, tuple[int, int, int]] = {}
+        rows: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            columns = list(zip(*rows))
+            rows.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _CONTEXT)], _NAMES)
+
+        def put(route: int, here: tuple[int, int, int], left: int, context: bytes) -> None:
+            mark = xxhash.xxh3_128_digest(context, left)
+            there = sent.get(mark)
+            if there == here:
+                return
+            if there is not None and there[:2] < here[:2]:
+                route = _signed((here[0] * 0x9E3779B97F4A7C15 + here[1]) & 0xFFFFFFFFFFFFFFFF)
+                rows.append((route, here[0], here[2], here[1], here[1] + len(context), None, None))
+                return
+            if len(sent) >= REMEMBERED:
+                sent.clear()
+            sent[mark] = here
+            rows.append((route, here[0], here[2], here[1], here[1] + len(context), left, context))
+
         for batch in batches:
             ids = [_LAST if x is None else x for x in batch.column(0).to_pylist()]
             texts = batch.column(1).cast(pa.large_binary())
             keys: dict[int, int] = {}
-            rows: list[tuple] = []
             for row, before, data, offsets in _pieces(texts, length):
                 numbers, hashes, places, first, last = anchors(data, offsets, length)
                 at = (hashes & np.uint64(bits - 1)).astype(np.int64)
@@ -127,24 +162,20 @@ def _send_contexts(shared, length: int):
                 raw = data.tobytes()
                 for k, h, place, a, b in zip(*(x[use].tolist() for x in (numbers, hashes.view(np.int64), places, first, last))):
                     base = before - int(offsets[k])
-                    context, left = raw[a : b + length], place - a
-                    mark = xxhash.xxh3_128_digest(context, left)
                     if row + k not in keys:
                         keys[row + k] = text_key(texts[row + k].as_py() or b"")
-                    here = (ids[row + k], a + base, keys[row + k])
-                    there = sent.get(mark)
-                    if there == here:
-                        continue
-                    if there is not None and there[:2] < here[:2]:
-                        route = _signed((here[0] * 0x9E3779B97F4A7C15 + here[1]) & 0xFFFFFFFFFFFFFFFF)
-                        rows.append((route, here[0], here[2], here[1], here[1] + len(context), None, None))
-                        continue
-                    if len(sent) >= REMEMBERED:
-                        sent.clear()
-                    sent[mark] = here
-                    rows.append((h, here[0], here[2], here[1], here[1] + len(context), left, context))
-            columns = list(zip(*rows)) if rows else [()] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _CONTEXT)], _NAMES)
+                    if h not in hot:
+                        put(h, (ids[row + k], a + base, keys[row + k]), place - a, raw[a : b + length])
+                    else:
+                        for low, high in parts:
+                            start, end = max(a, place - high), min(b, place - low)  # first and last window of the range
+                            if start <= end:
+                                common = xxhash.xxh3_64_intdigest(raw[place - low : place - high + length], low)
+                                put(_signed(common), (ids[row + k], start + base, keys[row + k]), place - start, raw[start : end + length])
+                    if len(rows) >= ROWS:
+                        yield flush()
+        if rows:
+            yield flush()
 
     return run
 
@@ -276,12 +307,14 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         raise ValueError(f"length must be {GRAM} or more")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter(F.octet_length("text") >= length)
-    counts = rows.select("text").mapInArrow(_count_anchors(length), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
-    often = materialize(counts.filter("n > 1").select("anchor"), "repeated_anchors")
-    bits = bitmap_bits(often.count(), most=1 << 27)
+    counts = rows.select("text").mapInArrow(bounded(_count_anchors(length), 0), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    often = materialize(counts.filter("n > 1"), "repeated_anchors")
+    known, total = often.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    bits = bitmap_bits(known, most=1 << 27)
     bitmap = collect_bitmap(often.select(F.col("anchor").bitwiseAND(F.lit(bits - 1)).alias("place")), bits)
-    shared = spark.sparkContext.broadcast((bitmap, bits))
-    contexts = rows.mapInArrow(_send_contexts(shared, length), CONTEXT)
+    hot = often.filter(F.col("n") > max(HOT, total // HOT_SHARE)).select("anchor").toArrow()["anchor"].to_pylist()
+    shared = spark.sparkContext.broadcast((bitmap, bits, frozenset(hot)))
+    contexts = rows.mapInArrow(bounded(_send_contexts(shared, length), 1), CONTEXT)
     contexts = contexts.repartition("route").sortWithinPartitions("route")
     spans = contexts.mapInArrow(_buckets(length), "id long, text_key long, start long, end long").distinct()
     return spans.groupBy("id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
@@ -301,14 +334,17 @@ def cut(raw: bytes, spans: list[dict]) -> tuple[bytes, int, int]:
     return out, len(raw) - len(out), runs
 
 
-def _marked(shared, wanted: bool):
-    """The rows whose id is marked in the bitmap (or is not), with the text's key."""
+def _order(batch: pa.RecordBatch) -> list[int]:
+    return [_LAST if x is None else x for x in batch.column(1).to_pylist()]
+
+
+def _marked(shared):
+    """The rows whose id is marked in the bitmap, with the text's key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap, bits = shared.value
         for batch in batches:
-            order = [_LAST if x is None else x for x in batch.column(1).to_pylist()]
-            use = [k for k, x in enumerate(order) if (bitmap[(x & bits - 1) >> 3] >> (x & 7) & 1) == wanted]
+            use = [k for k, x in enumerate(_order(batch)) if bitmap[(x & bits - 1) >> 3] >> (x & 7) & 1]
             part = batch.take(pa.array(use, pa.int64()))
             keys = [text_key(x or b"") for x in part.column(2).cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.int64())], [*part.schema.names, "text_key"])
@@ -316,6 +352,19 @@ def _marked(shared, wanted: bool):
     return run
 
 
+def _unmarked(shared):
+    """The finished rows of all others: they lose nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap, bits = shared.value
+        for batch in batches:
+            use = [k for k, x in enumerate(_order(batch)) if not bitmap[(x & bits - 1) >> 3] >> (x & 7) & 1]
+            part = batch.take(pa.array(use, pa.int64())).drop_columns(["order"])
+            yield from _cutter(iter([part]))
+
+    return run
+
+
 def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text, spans) to (id, kept bytes, counts); the digest is of the remaining bytes, which need not be UTF-8."""
     for batch in batches:
@@ -342,10 +391,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.col(id_col).alias("id"), F.col(id_col).cast("long").alias("order"), F.col(text_col).alias("text"))
     schema = T.StructType([*rows.schema.fields, T.StructField("text_key", T.LongType())])
     out = T.StructType([rows.schema["id"], *T.DataType.fromDDL("n_bytes long, n_removed long, n_spans long, kept binary").fields])
-    clean = rows.mapInArrow(_marked(shared, False), schema).select("id", "text").mapInArrow(_cutter, out)
-    hit = rows.mapInArrow(_marked(shared, True), schema).withColumn("order", F.coalesce("order", F.lit(_LAST)))
+    clean = rows.mapInArrow(bounded(_unmarked(shared), 2), out)
+    hit = rows.mapInArrow(bounded(_marked(shared), 2), schema).withColumn("order", F.coalesce("order", F.lit(_LAST)))
     hit = hit.join(spans.withColumnRenamed("id", "order"), ["order", "text_key"], "left").select("id", "text", "spans")
-    return clean.unionByName(hit.mapInArrow(_cutter, out)).withColumnRenamed("id", id_col)
+    return clean.unionByName(hit.mapInArrow(bounded(_cutter, 1), out)).withColumnRenamed("id", id_col)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
