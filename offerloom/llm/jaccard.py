@@ -12,9 +12,13 @@ work, never the result), so that common passages don't make large groups of unli
 
 Candidates: trees of linked nodes grow in rounds. In each, every tree tries one pair: the nodes that share most parts among those
 that pair it with the least tree it shares a part with. So a large group of near copies is joined at a cost linear in its
-size. Then all pairs of nodes that share a part and are still in different trees are tried. Sizes and the Hamming distance of
-dense sketches rule out most pairs first; verification compares whole shingle sets. No link between different sets is lost, so
-the components are exact.
+size. Then pairs of nodes that share a part and are still in different trees are tried: where a part has few nodes, at once. The
+nodes of larger parts are a family of texts that are nearly, but not quite, alike; what they have in common says nothing, so
+their shingles are counted over all these nodes and put in order, rare ones first. Sets of a and b shingles that link have
+4 (a + b) / 9 or more in common, so they share one of the first that lie before the last 4 (a + b) / 9 - 1 of each; a text has
+its own edits there, not the family's common stock. Within one shingle's nodes, only those outside its most frequent tree look for
+partners. Sizes and the Hamming distance of dense sketches rule out most pairs first; verification compares whole shingle
+sets. No link between different sets is lost, so the components are exact.
 
 Defined results: a null or empty text has no shingles and links with nothing, not even with another empty
 one; fewer words than a shingle make one shingle of all; repeated rows and ids each count as a row, and the component is
@@ -35,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..operators.components import connected_components
-from .common import bitmap_bits, bitmap_filter, carried, collect_bitmap, materialize, mix64, restored, table
+from .common import bitmap_bits, bitmap_filter, bounded, carried, collect_bitmap, materialize, mix64, restored, table
 
 WORDS = 5
 #: Parts counted this often within one task are reported as frequent; at most so many of them are broadcast.
@@ -44,6 +48,10 @@ OFTEN, FREQUENT = 4, 1 << 18
 ROUNDS = 3
 #: Members that one task compares with a leader, about.
 MEMBERS = 2000
+#: Nodes of a part that are compared pair by pair; larger parts go by their nodes' rare shingles.
+SMALL = 8
+#: Groups that hold more than this share of the rows get their result by a broadcast: there are at most as many.
+HEAVY = 1024
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _FLUSH = 1 << 21
 
@@ -130,9 +138,9 @@ def fingerprint(shingles: np.ndarray) -> int:
 
 
 def dense_sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parity bits, as 64-bit words: a power of two of them, at least as many bits as shingles and 512. Sketches of sets whose
+    """Parity bits, as 64-bit words: a power of two of them, at least twice as many bits as shingles and 512. Sketches of sets whose
     sizes are near differ in length by a factor of two at most; XOR of its halves folds the longer one."""
-    bits = max(512, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else 512
+    bits = max(512, 2 << (len(shingles) - 1).bit_length()) if len(shingles) else 512
     odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
@@ -196,10 +204,11 @@ def _texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
 
 
 def _first_scan(size: int):
-    """Per document (id, n, node, sketch, text key), and (part, n) for parts that are frequent in this task."""
+    """Per document (id, n, node, sketch, text key), the last two only where its set is new to the task; and (part, n) for
+    parts that are frequent in this task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, held, kind = set(), [], None
+        seen, held, total, kind = set(), [], 0, None
         names = ["id", "n", "node", "sketch", "key", "part"]
 
         def flush() -> pa.RecordBatch:
@@ -210,22 +219,26 @@ def _first_scan(size: int):
 
         for batch in batches:
             kind = batch.column(0).type
-            counts, nodes, sketches = [], [], []
+            counts, nodes, sketches, keys = [], [], [], []
             raws = _texts(batch)
-            for shingles in shingle_sets(raws, size):
+            for raw, shingles in zip(raws, shingle_sets(raws, size)):
                 node = fingerprint(shingles) if len(shingles) else None
+                new = node is not None and node not in seen
                 counts.append(len(shingles))
                 nodes.append(node)
-                sketches.append(dense_sketch(shingles))
-                if node is not None and node not in seen:
+                sketches.append(dense_sketch(shingles) if new else None)
+                keys.append(text_key(raw) if new else None)
+                if new:
                     seen.add(node)
-                    held += [parts_of(shingles, band)[0] for band, _ in bands(len(shingles))]
+                    for band, _ in bands(len(shingles)):
+                        held.append(parts_of(shingles, band)[0])
+                        total += len(held[-1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(map(text_key, raws), pa.int64()), pa.nulls(len(counts), pa.int64())], names
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(keys, pa.int64()), pa.nulls(len(counts), pa.int64())], names
             )
-            if sum(map(len, held)) > _FLUSH:
+            if total > _FLUSH:
                 yield flush()
-                held = []
+                held, total = [], 0
         if held:
             yield flush()
 
@@ -236,19 +249,23 @@ def _part_scan(shared, size: int):
     """(part, node) for the indexed parts; copies within a task are sent once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, frequent = set(), frequent_parts(*shared.value)
+        seen, frequent, parts, nodes, total = set(), frequent_parts(*shared.value), [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.concatenate(nodes))], ["part", "node"])
+
         for batch in batches:
-            parts, nodes = [], []
             for shingles in shingle_sets(_texts(batch), size):
                 if len(shingles) and (node := fingerprint(shingles)) not in seen:
                     seen.add(node)
                     parts.append(indexed_parts(shingles, frequent))
                     nodes.append(np.full(len(parts[-1]), node, np.int64))
-                if sum(map(len, parts[-64:])) > _FLUSH:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.concatenate(nodes))], ["part", "node"])
-                    parts, nodes = [], []
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.concatenate(nodes))], ["part", "node"])
+                    total += len(parts[-1])
+                if total > _FLUSH >> 3:
+                    yield flush()
+                    parts, nodes, total = [], [], 0
+        if parts:
+            yield flush()
 
     return run
 
@@ -309,23 +326,56 @@ def _possible(sizes: DataFrame, pairs: DataFrame) -> DataFrame:
     return rows.filter(9 * _distance("leader_sketch", "node_sketch") <= F.col("leader_n") + F.col("node_n")).select(*pairs.columns)
 
 
+def _sets_of(texts: DataFrame, keys: DataFrame, size: int) -> DataFrame:
+    """(key, shingles) for the texts with these keys, and a few by chance; the texts are read again."""
+    bits = bitmap_bits(keys.count())
+    shared = texts.sparkSession.sparkContext.broadcast((collect_bitmap(keys.select(F.col("key").bitwiseAND(F.lit(bits - 1)).alias("place")), bits), bits))
+    return texts.mapInArrow(bounded(_set_scan(shared, size), 0), "key long, shingles array<long>")
+
+
 def _verify(texts: DataFrame, sizes: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     """The pairs (leader, node) whose sets are similar enough. One text of each node is read again. A leader with many
     members is copied to several shares of them, so that no task gets all of a large group."""
-    spark = texts.sparkSession
     per = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("shares"))
     members = pairs.join(per, "leader").select("leader", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int").alias("share"), F.lit(True).alias("member"), "node")
     leaders = per.select("leader", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(False).alias("member"), F.col("leader").alias("node"))
     wanted = materialize(members.unionByName(leaders).join(sizes.select("node", "key"), "node"), "wanted")
-    keys = wanted.select("key").distinct()
-    bits = bitmap_bits(keys.count())
-    shared = spark.sparkContext.broadcast((collect_bitmap(keys.select(F.col("key").bitwiseAND(F.lit(bits - 1)).alias("place")), bits), bits))
-    sets = texts.mapInArrow(_set_scan(shared, size), "key long, shingles array<long>")
+    sets = _sets_of(texts, wanted.select("key").distinct(), size)
     rows = wanted.join(sets, "key").select("leader", "share", "member", "node", "shingles")
     rows = rows.repartition("leader", "share").sortWithinPartitions("leader", "share", "member", "node")
     return rows.mapInArrow(_compare, "leader long, node long")
 
 
+def _few(parts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(leader, node, root_a, root_b) for the nodes that share one of ``parts`` and are in different trees."""
+    rows = parts.join(sizes.select("node", "n", "sketch"), "node")
+    a, b = (rows.select(F.col("part").alias(f"part_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n", "sketch"))) for k in "ab")
+    near = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & (5 * F.col("n_a") >= 4 * F.col("n_b")) & (5 * F.col("n_b") >= 4 * F.col("n_a"))
+    near &= 9 * _distance("sketch_a", "sketch_b") <= F.col("n_a") + F.col("n_b")
+    return a.join(b, (F.col("part_a") == F.col("part_b")) & near).select(F.col("node_a").alias("leader"), F.col("node_b").alias("node"), "root_a", "root_b").distinct()
+
+
+def _family(texts: DataFrame, nodes: DataFrame, sizes: DataFrame, size: int) -> DataFrame:
+    """(leader, node, root_a, root_b) for those of ``nodes`` (node, root) that share a rare enough shingle and are in different trees."""
+    wanted = materialize(nodes.join(sizes.select("node", "n", "key"), "node"), "family")
+    sets = _sets_of(texts, wanted.select("key").distinct(), size).groupBy("key").agg(F.any_value("shingles").alias("shingles"))
+    shingles = materialize(wanted.join(sets, "key").select("node", "root", "n", F.explode("shingles").alias("shingle")), "family_shingles")
+    counts = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
+    ranked = shingles.join(counts, "shingle", "left").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("nodes", F.lit(1)), "shingle")))
+    first = ranked.filter("nodes > 1 AND place <= floor(n / 5) + 1").select("shingle", "node", "root", "n", "place")  # the most for any partner's size
+    first = materialize(first, "family_prefixes")
+    trees = first.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("nodes")).groupBy("shingle").agg(F.max(F.struct("nodes", "root")).alias("main"), F.count(F.lit(1)).alias("trees"))
+    rows = first.join(trees.filter("trees > 1").select("shingle", F.col("main.root").alias("main")), "shingle")
+    a, b = (rows.select(F.col("shingle").alias(f"shingle_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n", "place", "main"))) for k in "ab")
+    near = F.expr("root_a <> root_b AND (root_b = main_b OR node_a < node_b) AND 5 * n_a >= 4 * n_b AND 5 * n_b >= 4 * n_a")
+    near &= F.expr("4 * (n_a + n_b) <= 9 * (n_a - place_a + 1) AND 4 * (n_a + n_b) <= 9 * (n_b - place_b + 1)")
+    pairs = a.filter("root_a <> main_a").join(b, (F.col("shingle_a") == F.col("shingle_b")) & near).select(F.col("node_a").alias("leader"), F.col("node_b").alias("node"), "root_a", "root_b").distinct()
+    return _possible(sizes, pairs).select(
+        F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node"),
+        F.when(F.col("leader") < F.col("node"), F.col("root_a")).otherwise(F.col("root_b")).alias("root_a"), F.when(F.col("leader") < F.col("node"), F.col("root_b")).otherwise(F.col("root_a")).alias("root_b"),
+    )
+
+
 def _roots(parents: DataFrame) -> DataFrame:
     """Node and root for a forest of (node, leader) edges, by pointer jumping."""
     current = parents.select("node", F.col("leader").alias("root"))
@@ -337,23 +387,35 @@ def _roots(parents: DataFrame) -> DataFrame:
             return current
 
 
+def _told(rows: DataFrame, key: str, heads: DataFrame) -> DataFrame:
+    """``rows`` with the ``head`` of their key (null without one). ``heads``: key, n (how many rows have it), head. The keys that have
+    more than a HEAVY-th of the rows, so fewer than that many, are broadcast; a key's rows meet in a task only for the others."""
+    heads = materialize(heads, "heads")
+    most = (heads.agg(F.sum("n")).first()[0] or 0) // HEAVY + 1
+    named = rows.join(F.broadcast(heads.filter(F.col("n") > most).select(key, F.col("head").alias("heavy"))), key, "left")
+    found = named.filter("heavy IS NOT NULL").withColumn("head", F.col("heavy"))
+    rest = named.filter(F.col("heavy").isNull() & F.col(key).isNotNull()).join(heads.filter(F.col("n") <= most).select(key, "head"), key, "left")
+    none = named.filter(F.col(key).isNull()).withColumn("head", F.col("heavy"))
+    return found.unionByName(rest).unionByName(none).drop("heavy")
+
+
 def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS) -> DataFrame:
     """Per document: id, n_shingles, component_id (least id of its group)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = rows.select("text")
     schema = T.StructType([rows.schema["id"], *T.DataType.fromDDL("n long, node long, sketch array<long>, key long, part long").fields])
-    scanned = materialize(rows.mapInArrow(_first_scan(size), schema), "documents")
+    scanned = materialize(rows.mapInArrow(bounded(_first_scan(size), 1), schema), "documents")
     about = scanned.filter(F.col("part").isNull())
     often = scanned.filter(F.col("part").isNotNull()).groupBy("part").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "part").limit(FREQUENT).toPandas()
     shared = spark.sparkContext.broadcast((often["part"].to_numpy(np.int64).view(np.uint64), often["n"].to_numpy(np.int64)))
 
-    parts = texts.mapInArrow(_part_scan(shared, size), "part long, node long")
+    parts = texts.mapInArrow(bounded(_part_scan(shared, size), 0), "part long, node long")
     group = Window.partitionBy("part")
     parts = parts.withColumns({"leader": F.min("node").over(group), "last": F.max("node").over(group)})
     parts = materialize(parts.filter("leader <> last").select("part", "node").distinct(), "shared_parts")
     paired = parts.select("node").distinct()
-    sizes = about.join(paired, "node").groupBy("node").agg(F.min(F.struct("key", "n", "sketch")).alias("text")).select("node", "text.*")
+    sizes = about.filter(F.col("key").isNotNull()).join(paired, "node").groupBy("node").agg(F.min(F.struct("key", "n", "sketch")).alias("text")).select("node", "text.*")
     sizes = materialize(sizes, "sizes")
 
     label = tested = None
@@ -381,14 +443,12 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             grown = moved.select("node", F.coalesce("joint", "component").alias("component")).unionByName(up.join(label, "node", "left_anti"))
             label = materialize(grown, "labels")
 
-    placed = rooted()
-    placed = placed.withColumns({"least": F.min("root").over(group), "most": F.max("root").over(group)}).filter("least <> most").select("part", "node", "root")
-    placed = placed.join(sizes.select("node", "n", "sketch"), "node")
-    a, b = (placed.select(F.col("part").alias(f"part_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n", "sketch"))) for k in "ab")
-    # the whole filter is the join's own condition: a pair that it rules out is never a row
-    near = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & (5 * F.col("n_a") >= 4 * F.col("n_b")) & (5 * F.col("n_b") >= 4 * F.col("n_a"))
-    near &= 9 * _distance("sketch_a", "sketch_b") <= F.col("n_a") + F.col("n_b")
-    cross = a.join(b, (F.col("part_a") == F.col("part_b")) & near).select(F.col("node_a").alias("leader"), F.col("node_b").alias("node"), "root_a", "root_b").distinct()
+    placed = rooted().withColumns({"least": F.min("root").over(group), "most": F.max("root").over(group), "nodes": F.count(F.lit(1)).over(group)})
+    placed = materialize(placed.filter("least <> most").select("part", "node", "root", "nodes"), "open_parts")
+    cross = _few(placed.filter(F.col("nodes") <= SMALL), sizes)
+    family = placed.filter(F.col("nodes") > SMALL).select("node", "root").distinct()
+    if not family.isEmpty():
+        cross = cross.unionByName(_family(texts, family, sizes, size)).distinct()
     cross = cross if tested is None else cross.join(tested.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")), ["leader", "node"], "left_anti")
     cross = materialize(cross, "cross_pairs")
     if not cross.isEmpty():
@@ -401,10 +461,14 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             label = moved.unionByName(up.withColumnRenamed("joint", "component").join(label, "node", "left_anti"))
         label = materialize(label, "labels")
     label = parts.select("node", F.col("node").alias("component")).limit(0) if label is None else label
-    named = about.select("id", "n", "node").join(label, "node", "left").select("id", "n", F.coalesce("component", "node").alias("group"))
-    heads = named.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min("id").alias("head"))
-    out = named.join(heads, "group", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("head", "id").alias("component_id"))
+    # copies count by node first, then by component; a tree's root is a member too
+    label = label.unionByName(label.select(F.col("component").alias("node"), "component")).distinct()
+    nodes = about.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    nodes = materialize(nodes.join(label, "node", "left").filter("component IS NOT NULL OR n > 1"), "nodes")
+    groups = nodes.filter("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n"))
+    heads = _told(nodes.withColumnRenamed("n", "rows"), "component", groups).select("node", F.col("rows").alias("n"), F.coalesce("head", "id").alias("head"))
+    out = _told(about.select("id", F.col("n").alias("n_shingles"), "node"), "node", heads)
+    return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("head", "id").alias("component_id"))
 
 
 def keep_one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS) -> DataFrame:
@@ -420,8 +484,8 @@ def keep_one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     bits = bitmap_bits(listed.count(), most=1 << 27)
     shared = spark.sparkContext.broadcast((collect_bitmap(listed.select(F.col("id").cast("long").bitwiseAND(F.lit(bits - 1)).alias("place")), bits), bits))
     rows = carried(docs, text_col).withColumn("id", F.col(f"doc.`{id_col}`"))
-    plain = rows.mapInArrow(bitmap_filter(shared, "id", False), rows.schema).select("doc", "text")
-    marked = rows.mapInArrow(bitmap_filter(shared, "id", True), rows.schema).join(listed, "id", "left")
+    plain = rows.mapInArrow(bounded(bitmap_filter(shared, "id", False), 1), rows.schema).select("doc", "text")
+    marked = rows.mapInArrow(bounded(bitmap_filter(shared, "id", True), 1), rows.schema).join(listed, "id", "left")
     chance = marked.filter(F.col("stays").isNull()).select("doc", "text")
     repeated = marked.filter("stays").groupBy("id").agg(F.min_by(F.struct("doc", "text"), F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))).alias("row"))
     return restored(plain.unionByName(chance).unionByName(repeated.select("row.*")), docs.columns, text_col)
