@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import carried, materialize, restored, table
+from .common import bounded, carried, materialize, restored, table
 
 #: Letters A-Z become small; bytes that belong to no word become blanks; UTF-8 above ASCII stays.
 FOLD = bytes(
@@ -139,7 +139,7 @@ def _scanned(docs: DataFrame, columns: list, items: DataFrame, keep_text: bool,
         keep = keep_text or k < passes - 1
         fields = [f for f in rows.schema.fields if f.name != "state" and (keep or f.name != "text")]
         schema = T.StructType(fields).add("state", T.DataType.fromDDL(STATE))
-        rows = rows.mapInArrow(_scanner(shared, window, keep), schema)
+        rows = rows.mapInArrow(bounded(_scanner(shared, window, keep), rows.columns.index("text")), schema)
         if k < passes - 1:
             rows = materialize(rows, f"decontaminate_{k}")
     return rows

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BLOCK_BYTES, carried, held_out, restored, table
+from .common import BLOCK_BYTES, bounded, carried, held_out, restored, table
 
 BINS = 1 << 14
 #: Log-likelihood that a further language must add, per log of the number of trigrams.
@@ -81,7 +81,7 @@ def train_profiles(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "
 
     Each task sends at most one count per language and bin; languages x bins numbers reach the driver."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).dropna()
-    counts = rows.mapInArrow(_count, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()
+    counts = rows.mapInArrow(bounded(_count, 1), "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toPandas()
     profiles = {}
     for lang, part in counts.groupby("lang"):
         found = np.full(BINS, SMOOTHING)
@@ -153,7 +153,7 @@ def _predicted(rows: DataFrame, profiles: dict[str, np.ndarray], penalty: float,
     matrix = np.stack([profiles[x] for x in langs], axis=1) if langs else np.zeros((BINS, 0))
     shared = rows.sparkSession.sparkContext.broadcast((langs, matrix))
     schema = T.StructType(rows.schema.fields[: 1 + keep_text]).add("state", T.DataType.fromDDL(STATE))
-    return rows.mapInArrow(_predictor(shared, penalty, keep_text), schema)
+    return rows.mapInArrow(bounded(_predictor(shared, penalty, keep_text), 1), schema)
 
 
 def identify_languages(docs: DataFrame, profiles: dict[str, np.ndarray], *, id_col: str = "doc_id", text_col: str = "text", penalty: float = PENALTY) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import carried, restored, table
+from .common import bounded, carried, restored, table
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -178,13 +178,13 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """Per document: id and spans, an array of (kind, start, end)."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = T.StructType([rows.schema["id"], T.StructField("spans", T.DataType.fromDDL(SPANS))])
-    return rows.mapInArrow(_scanner(least_cost, None), schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(bounded(_scanner(least_cost, None), 1), schema).withColumnRenamed("id", id_col)
 
 
 def redact_secrets(docs: DataFrame, *, text_col: str = "text", least_cost: float = 10.0, mark: str = "[secret]") -> DataFrame:
     """All documents, each finding in their text replaced by ``mark``; other columns pass unchanged."""
     rows = carried(docs, text_col)
-    return restored(rows.mapInArrow(_scanner(least_cost, mark), rows.schema), docs.columns, text_col)
+    return restored(rows.mapInArrow(bounded(_scanner(least_cost, mark), 1), rows.schema), docs.columns, text_col)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
