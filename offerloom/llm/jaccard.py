@@ -50,6 +50,8 @@ ROUNDS = 3
 MEMBERS = 2000
 #: Nodes of a part that are compared pair by pair; larger parts go by their nodes' rare shingles.
 SMALL = 8
+#: Nodes of a tree that others try before pairs are made.
+LEADERS = 3
 #: Groups that hold more than this share of the rows get their result by a broadcast: there are at most as many.
 HEAVY = 1024
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -355,25 +357,47 @@ def _few(parts: DataFrame, sizes: DataFrame) -> DataFrame:
     return a.join(b, (F.col("part_a") == F.col("part_b")) & near).select(F.col("node_a").alias("leader"), F.col("node_b").alias("node"), "root_a", "root_b").distinct()
 
 
-def _family(texts: DataFrame, nodes: DataFrame, sizes: DataFrame, size: int) -> DataFrame:
-    """(leader, node, root_a, root_b) for those of ``nodes`` (node, root) that share a rare enough shingle and are in different trees."""
+def _trees(rows: DataFrame, tree: str) -> DataFrame:
+    """``rows`` (of shingles) whose shingle is in several trees, with the ``main`` one: that with most of its nodes."""
+    counts = rows.groupBy("shingle", tree).agg(F.count(F.lit(1)).alias("nodes"))
+    counts = counts.groupBy("shingle").agg(F.max(F.struct("nodes", tree)).alias("most"), F.count(F.lit(1)).alias("trees"))
+    return rows.join(counts.filter("trees > 1").select("shingle", F.col(f"most.{tree}").alias("main")), "shingle")
+
+
+def _family(texts: DataFrame, nodes: DataFrame, sizes: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """For ``nodes`` (node, root): links found (root_a, root_b), and the pairs (leader, node, root_a, root_b) still to verify.
+
+    First, nodes outside a shingle's main tree try that tree's leaders, its nodes with the fewest shingles of their own: the
+    nearest to what the family has in common. That links most that can be linked, at a cost linear in the nodes. Pairs are made
+    for the others, where they share a rare enough shingle."""
     wanted = materialize(nodes.join(sizes.select("node", "n", "key"), "node"), "family")
     sets = _sets_of(texts, wanted.select("key").distinct(), size).groupBy("key").agg(F.any_value("shingles").alias("shingles"))
     shingles = materialize(wanted.join(sets, "key").select("node", "root", "n", F.explode("shingles").alias("shingle")), "family_shingles")
     counts = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    ranked = _told(shingles, "shingle", counts.withColumn("head", F.col("n"))).withColumnRenamed("head", "nodes").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("nodes", F.lit(1)), "shingle")))
-    first = ranked.filter("nodes > 1 AND place <= floor(n / 5) + 1").select("shingle", "node", "root", "n", "place")  # the most for any partner's size
+    ranked = _told(shingles, "shingle", counts.withColumn("head", F.col("n"))).withColumnRenamed("head", "nodes")
+    ranked = ranked.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("nodes", F.lit(1)), "shingle")))
+    ranked = ranked.withColumn("own", F.count(F.expr("CASE WHEN nodes IS NULL THEN 1 END")).over(Window.partitionBy("node")))
+    first = ranked.filter("nodes > 1 AND place <= floor(n / 5) + 1").select("shingle", "node", "root", "n", "place", "own")  # the most for any partner's size
     first = materialize(first, "family_prefixes")
-    trees = first.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("nodes")).groupBy("shingle").agg(F.max(F.struct("nodes", "root")).alias("main"), F.count(F.lit(1)).alias("trees"))
-    rows = first.join(trees.filter("trees > 1").select("shingle", F.col("main.root").alias("main")), "shingle")
-    a, b = (rows.select(F.col("shingle").alias(f"shingle_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "n", "place", "main"))) for k in "ab")
-    near = F.expr("root_a <> root_b AND (root_b = main_b OR node_a < node_b) AND 5 * n_a >= 4 * n_b AND 5 * n_b >= 4 * n_a")
+
+    order = Window.partitionBy("root").orderBy("own", "node")
+    leaders = first.select("root", "node", "own").distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= LEADERS)
+    tries = _trees(first, "root").filter("root <> main").select("node", "root", "main").distinct()
+    tries = tries.join(leaders.select(F.col("root").alias("main"), F.col("node").alias("leader")), "main")
+    tries = materialize(_possible(sizes, tries.select("leader", "node", "root", "main")), "tries")
+    links = materialize(_verify(texts, sizes, tries.select("leader", "node"), size).join(tries, ["leader", "node"]).select(F.col("root").alias("root_a"), F.col("main").alias("root_b")).distinct(), "links")
+
+    trees = connected_components(links, "root_a", "root_b").select(F.col("node").alias("root"), F.col("component").alias("tree"))
+    rows = _trees(first.join(trees, "root", "left").withColumn("tree", F.coalesce("tree", "root")), "tree")
+    a, b = (rows.select(F.col("shingle").alias(f"shingle_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in ("node", "root", "tree", "n", "place", "main"))) for k in "ab")
+    near = F.expr("tree_a <> tree_b AND (tree_b = main_b OR node_a < node_b) AND 5 * n_a >= 4 * n_b AND 5 * n_b >= 4 * n_a")
     near &= F.expr("4 * (n_a + n_b) <= 9 * (n_a - place_a + 1) AND 4 * (n_a + n_b) <= 9 * (n_b - place_b + 1)")
-    pairs = a.filter("root_a <> main_a").join(b, (F.col("shingle_a") == F.col("shingle_b")) & near).select(F.col("node_a").alias("leader"), F.col("node_b").alias("node"), "root_a", "root_b").distinct()
-    return _possible(sizes, pairs).select(
+    pairs = a.filter("tree_a <> main_a").join(b, (F.col("shingle_a") == F.col("shingle_b")) & near).select(F.col("node_a").alias("leader"), F.col("node_b").alias("node"), "root_a", "root_b").distinct()
+    pairs = _possible(sizes, pairs).select(
         F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node"),
         F.when(F.col("leader") < F.col("node"), F.col("root_a")).otherwise(F.col("root_b")).alias("root_a"), F.when(F.col("leader") < F.col("node"), F.col("root_b")).otherwise(F.col("root_a")).alias("root_b"),
     )
+    return links, pairs
 
 
 def _roots(parents: DataFrame) -> DataFrame:
@@ -445,15 +469,18 @@ def similar_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     placed = rooted().withColumns({"least": F.min("root").over(group), "most": F.max("root").over(group), "nodes": F.count(F.lit(1)).over(group)})
     placed = materialize(placed.filter("least <> most").select("part", "node", "root", "nodes"), "open_parts")
-    cross = _few(placed.filter(F.col("nodes") <= SMALL), sizes)
+    cross, found = _few(placed.filter(F.col("nodes") <= SMALL), sizes), None
     family = placed.filter(F.col("nodes") > SMALL).select("node", "root").distinct()
     if not family.isEmpty():
-        cross = cross.unionByName(_family(texts, family, sizes, size)).distinct()
+        found, pairs = _family(texts, family, sizes, size)
+        cross = cross.unionByName(pairs).distinct()
     cross = cross if tested is None else cross.join(tested.select(F.least("leader", "node").alias("leader"), F.greatest("leader", "node").alias("node")), ["leader", "node"], "left_anti")
     cross = materialize(cross, "cross_pairs")
     if not cross.isEmpty():
-        links = _verify(texts, sizes, cross.select("leader", "node"), size).join(cross, ["leader", "node"])
-        up = connected_components(links, "root_a", "root_b").select("node", F.col("component").alias("joint"))
+        links = _verify(texts, sizes, cross.select("leader", "node"), size).join(cross, ["leader", "node"]).select("root_a", "root_b")
+        found = links if found is None else found.unionByName(links)
+    if found is not None:
+        up = connected_components(found, "root_a", "root_b").select("node", F.col("component").alias("joint"))
         if label is None:
             label = up.withColumnRenamed("joint", "component")
         else:
