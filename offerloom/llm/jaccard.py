@@ -373,8 +373,8 @@ def _family(texts: DataFrame, nodes: DataFrame, sizes: DataFrame, size: int) ->
     wanted = materialize(nodes.join(sizes.select("node", "n", "key"), "node"), "family")
     sets = _sets_of(texts, wanted.select("key").distinct(), size).groupBy("key").agg(F.any_value("shingles").alias("shingles"))
     shingles = materialize(wanted.join(sets, "key").select("node", "root", "n", F.explode("shingles").alias("shingle")), "family_shingles")
-    counts = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    ranked = _told(shingles, "shingle", counts.withColumn("head", F.col("n"))).withColumnRenamed("head", "nodes")
+    counts = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
+    ranked = shingles.join(counts, "shingle", "left")
     ranked = ranked.withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("nodes", F.lit(1)), "shingle")))
     ranked = ranked.withColumn("own", F.count(F.expr("CASE WHEN nodes IS NULL THEN 1 END")).over(Window.partitionBy("node")))
     first = ranked.filter("nodes > 1 AND place <= floor(n / 5) + 1").select("shingle", "node", "root", "n", "place", "own")  # the most for any partner's size
