@@ -107,6 +107,11 @@ def availability_label(c: Column, default: str = "В наличии") -> Column:
     return F.when(best > 0, F.concat(F.lit("Под заказ: "), best.cast("string"), F.lit(" дн"))).otherwise(default)
 
 
+def title_case(c: Column) -> Column:
+    """A capital after anything that is no letter, small letters after letters."""
+    return F.replace(F.initcap(F.regexp_replace(c, r"([^\p{L}])", "$1\u0001 ")), F.lit("\u0001 "), F.lit(""))
+
+
 def infer_brand(name: Column, known: Sequence[str], explicit: Column | None = None) -> Column:
     """An explicit brand; else the longest known one standing alone in the name; else its first word that is no filler."""
     low = F.lower(empty(name))
@@ -114,9 +119,9 @@ def infer_brand(name: Column, known: Sequence[str], explicit: Column | None = No
     for brand in sorted(known, key=lambda b: (-len(b), b)):
         found = (F if found is None else found).when(low.rlike(rf"(?U)(?<!\w)\Q{brand}\E(?!\w)"), brand)
     words = F.filter(F.split(strip_tags(name), " "), lambda w: ~F.lower(w).isin(*NOT_BRANDS) & w.rlike("[A-Za-zА-Яа-я]"))
-    head = F.initcap(F.regexp_replace(F.try_element_at(words, F.lit(1)), r"^[ ,.;:]+|[ ,.;:]+$", ""))
-    given = F.initcap(F.nullif(strip_tags(explicit), F.lit(""))) if explicit is not None else F.lit(None)
-    return F.coalesce(given, F.initcap(found) if found is not None else F.lit(None), head, F.lit(""))
+    head = title_case(F.regexp_replace(F.try_element_at(words, F.lit(1)), r"^[ ,.;:]+|[ ,.;:]+$", ""))
+    given = title_case(F.nullif(strip_tags(explicit), F.lit(""))) if explicit is not None else F.lit(None)
+    return F.coalesce(given, title_case(found) if found is not None else F.lit(None), head, F.lit(""))
 
 
 def product_line(name: Column, brand: Column) -> Column:

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: What a float may look like; narrower than what casts accept (no suffixes, no underscores).
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-#: 33 letters of the Cyrillic alphabet come as they are; entities most frequent in pages.
-ENTITIES = {"&nbsp;": " ", "&quot;": '"', "&#39;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
+#: Named characters of HTML as the standard library lists them; numbers from 128 to 159 mean Windows-1252.
+ENTITIES = {f"&{name}": char for name, char in html5.items() if name.endswith(";")} | {
+    f"&#{n};": bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)
+}
+_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 def strip(c: Column, chars: str = r"\s") -> Column:
@@ -71,9 +75,19 @@ def first_contained(c: Column, words: Iterable[str]) -> Column:
 
 
 def unescape_html(c: Column) -> Column:
-    for entity, char in ENTITIES.items():
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """Entities, by name or number, become their characters, once; unknown ones stay. A no-break space becomes a blank."""
+    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def decoded(mark: Column) -> Column:
+        digits = F.regexp_extract(mark, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+        code = F.when(mark.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+        fine = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.when(fine, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        return F.coalesce(F.try_element_at(names, mark), char, mark)
+
+    marks = F.transform(F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0)), decoded)
+    text = F.array_join(F.zip_with(F.split(c, _ENTITY, -1), marks, lambda part, mark: F.concat(part, F.coalesce(mark, F.lit("")))), "")
+    return F.replace(F.when(c.contains("&"), text).otherwise(c), F.lit("\u00a0"), F.lit(" "))
 
 
 def strip_tags(c: Column) -> Column:

@@ -44,8 +44,8 @@ def fill_profile(df: DataFrame) -> DataFrame:
 
 
 def quality_report(df: DataFrame, rules: Mapping[str, float]) -> DataFrame:
-    """Per ruled column: coverage, least allowed coverage, and whether it is reached; a table without rows fails."""
-    found = fill_profile(df.select(*[c for c in rules if c in df.columns]))
+    """Per ruled column: coverage (0 if the table lacks it), least allowed coverage, and whether it is reached; a table without rows fails."""
+    found = fill_profile(df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in rules]))
     least = F.element_at(F.create_map(*[x for c, v in rules.items() for x in (F.lit(c), F.lit(float(v)))]), F.col("column_name"))
     return found.withColumn("least", least).withColumn("passed", (F.col("n_rows") > 0) & (F.col("coverage") >= F.col("least")))
 
@@ -78,11 +78,11 @@ def mode_per_group(df: DataFrame, keys: Sequence[str], col: str, out: str) -> Da
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
-    """``old`` with ``new`` merged in: new keys are added whole, known ones take the ``update`` columns and keep the others."""
-    o, n = old.alias("o"), new.alias("n")
+    """``old`` with ``new`` merged in: new keys are added whole, known ones take the ``update`` columns and keep the others.
+    Null keys are keys like any other."""
+    o, n = old.withColumn("_here", F.lit(True)).alias("o"), new.withColumn("_here", F.lit(True)).alias("n")
     both = o.join(n, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys], "full_outer")
-    is_new = F.coalesce(*[F.col(f"n.{k}").isNotNull() for k in keys])
-    is_old = F.coalesce(*[F.col(f"o.{k}").isNotNull() for k in keys])
+    is_new, is_old = F.col("n._here").isNotNull(), F.col("o._here").isNotNull()
     column = lambda c: F.when(is_new & ((~is_old) | F.lit(c in update)), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}"))
     return both.select(*[F.coalesce(F.col(f"o.{c}"), F.col(f"n.{c}")).alias(c) if c in keys else column(c).alias(c) for c in old.columns])
 
@@ -111,12 +111,21 @@ def sequential_ids(df: DataFrame, order: str, prefix: str, width: int, out: str
     return numbered.withColumn(out, F.concat(F.lit(prefix), F.lpad((F.col("_k") + F.col("_before")).cast("string"), width, "0"))).drop("_part", "_k", "_before")
 
 
-def tree_closure(nodes: DataFrame, key: str, parent: str, level: str, depth: int) -> DataFrame:
-    """Per node and ancestor (itself included): key, ancestor, ancestor_level. Trees are at most ``depth`` levels deep."""
+def tree_closure(nodes: DataFrame, key: str, parent: str, level: str, depth: int | None = None) -> DataFrame:
+    """Per node and ancestor (itself included): key, ancestor, ancestor_level. Without a known ``depth`` of the trees, it goes up
+    until no node has a further ancestor; a node that is its own ancestor is an error."""
     up = nodes.select(F.col(key).alias("ancestor"), F.col(parent).alias("above"), F.col(level).alias("ancestor_level"))
     current = nodes.select(F.col(key), F.col(key).alias("ancestor"), F.col(parent).alias("above"), F.col(level).alias("ancestor_level"))
     out = current
-    for _ in range(depth - 1):
+    step = 1
+    while depth is None or step < depth:
         current = current.select(key, F.col("above").alias("ancestor")).join(up, "ancestor").select(key, "ancestor", "above", "ancestor_level")
+        if depth is None:
+            current = materialize(current, "ancestors")
+            if current.isEmpty():
+                break
+            if not current.filter(F.col(key) == F.col("ancestor")).isEmpty():
+                raise ValueError(f"{key} has a cycle")
         out = out.unionByName(current)
+        step += 1
     return out.select(key, "ancestor", "ancestor_level")

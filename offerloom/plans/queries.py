@@ -374,7 +374,7 @@ def _(spark, d):
     return R.tree_closure(K.categories(spark), "category_id", "parent_category_id", "level", K.LEVELS)
 
 
-_ATTRIBUTES = [(k, *row) for k, row in enumerate(((*e.split(":"), g, group) for g, (group, names) in enumerate(zip(K.ATTRIBUTE_GROUPS, K.ATTRIBUTES), 1) for e in names.split()), 1)]
+_ATTRIBUTES = [(k, *row) for k, row in enumerate(((name, unit, g, group) for g, (group, entries) in enumerate(K.ATTRIBUTES.items(), 1) for name, unit in entries), 1)]
 _WANTED = ", ".join(f"({root}, {q(a)})" for root, domain in K.DOMAIN_ROOTS.items() for a in K.DOMAIN_ATTRIBUTES[domain])
 _KNOWN = ", ".join(f"({k}, {q(n)}, {g}, {q(group)})" for k, n, _, g, group in _ATTRIBUTES)
 @query("category_attributes", f"WITH RECURSIVE {_TREE}, up AS (SELECT category_id, name, category_id AS anc, level, parent FROM tree UNION ALL SELECT up.category_id, up.name, t.category_id, t.level, t.parent FROM up JOIN tree t ON t.category_id = up.parent) "

@@ -31,8 +31,16 @@ class Config:
     least_multi_source: float = 0.005
 
 
+def _history(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
+    """The stored price history with the new one merged in; the new one alone where none is stored."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stored = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    return K.upsert_history(spark.read.parquet(path), new) if stored else new
+
+
 def run_catalog(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
-    """Runs all steps and writes every result below ``out``; gives the results by name. Loading the same load again replaces it."""
+    """Runs all steps and writes every result below ``out``; gives the results by name. Loading the same load again replaces it.
+    Masters, mapping and price history are those of all loads; the stored history is kept and updated."""
     cleaned: dict[str, list[DataFrame]] = {}
     for (source, group), raw in config.tables.items():
         path = f"{config.out}/raw/{source}_{group}"
@@ -43,6 +51,7 @@ def run_catalog(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
         sinks.write_load(table, f"{config.out}/cleaned/{source}_{group}")
         table = sinks.read_load(spark, f"{config.out}/cleaned/{source}_{group}", config.load_id)
         R.assert_quality(R.quality_report(table, {"normalized_name": config.least_names, "source_product_id": config.least_ids}))
+        table = sinks.read_load(spark, f"{config.out}/cleaned/{source}_{group}")  # the gate is for this load; what follows is for all
         cleaned.setdefault(group, []).append(table.withColumn("sku_id", F.concat_ws(":", F.lit(f"{source}_{group}"), "source_product_id")))
 
     featured, matches = [], []
@@ -64,7 +73,7 @@ def run_catalog(spark: SparkSession, config: Config) -> dict[str, DataFrame]:
     out = {
         "categories": K.categories(spark), "attributes": K.attributes(spark), "category_attributes": K.category_attributes(spark), "skus": masters.drop("anchor"),
         "sku_source_mapping": mapping, "match_explanations": found, "sku_attribute_values": K.sku_attribute_values(everything, sku_map, K.attributes(spark), names),
-        "sku_price_history": K.price_history(everything, sku_map, config.loaded_at),
+        "sku_price_history": _history(spark, f"{config.out}/matching/sku_price_history", K.price_history(everything, sku_map, config.loaded_at)),
     }
     for name, df in out.items():
         sinks.replace_table(df, f"{config.out}/matching/{name}")

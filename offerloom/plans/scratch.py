@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder all executors see: ``spark.checkpoint.dir``; a temporary one only where that is unset on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         context = spark.sparkContext._jsc.sc()
         if context.getCheckpointDir().isEmpty():
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="offerloom-"))
         found = context.getCheckpointDir().get()
     return found.rstrip("/")

@@ -13,17 +13,29 @@ from pyspark.sql import types as T
 from ..functions import values as V
 from ..functions.text import strip
 
-BASE_COLUMNS = (
-    "source source_product_id source_url category_group product_name brand price old_price currency availability city "
-    "image_url parsed_at article_sku rating reviews_count seller_count"
-).split()
+#: The canonical columns of every group, and those of each.
+BASE_COLUMNS = [
+    "source", "source_product_id", "source_url", "category_group", "product_name", "brand", "price", "old_price", "currency", "availability", "city",
+    "image_url", "parsed_at", "article_sku", "rating", "reviews_count", "seller_count",
+]
 GROUP_COLUMNS = {
-    "tires": "tire_width tire_profile tire_diameter season load_index speed_index studded runflat model_name weight".split(),
-    "oils": "viscosity volume_liters oil_type engine_type specification product_line package_type acea_class approvals".split(),
-    "batteries": "capacity_ah voltage_v start_current_a polarity battery_type dimensions terminal_type weight features length width height".split(),
-    "filters": "filter_type compatible_brand compatible_model oem_number additional_information".split(),
-    "wheels": "wheel_width wheel_diameter bolt_pattern et model_name".split(),
-}
+    "tires": [
+        "tire_width", "tire_profile", "tire_diameter", "season", "load_index", "speed_index", "studded", "runflat", "model_name", "weight",
+    ],
+    "oils": [
+        "viscosity", "volume_liters", "oil_type", "engine_type", "specification", "product_line", "package_type", "acea_class", "approvals",
+    ],
+    "batteries": [
+        "capacity_ah", "voltage_v", "start_current_a", "polarity", "battery_type", "dimensions", "terminal_type", "weight", "features", "length", "width",
+        "height",
+    ],
+    "filters": [
+        "filter_type", "compatible_brand", "compatible_model", "oem_number", "additional_information",
+    ],
+    "wheels": [
+        "wheel_width", "wheel_diameter", "bolt_pattern", "et", "model_name",
+    ],
+}
 #: Other names under which the marketplaces give a column, in order of preference.
 ALIASES = {
     "source_product_id": ("product_id", "id", "sku_id", "sku", "code"), "source_url": ("url",), "product_name": ("name", "title", "full_title", "normalized_name"),
@@ -134,20 +146,21 @@ def safe_names(names: Sequence[str]) -> list[str]:
 
 
 def allowed_url(url: Column, hosts: Sequence[str], forbidden: Sequence[str] = ()) -> Column:
-    """http(s), one of the hosts, no forbidden part in the path, and no query."""
-    path = F.lower(F.coalesce(F.parse_url(url, F.lit("PATH")), F.lit("")))
+    """http(s), one of the hosts, no forbidden part in the path, and no query. Other characters and escapes in it don't matter."""
+    piece = lambda k: F.lower(F.regexp_extract(url, r"^([^:/?#]+)://(?:[^/?#@]*@)?([^/?#:]*)(?::\d*)?([^?#]*)\??([^#]*)", k))
     bad = F.lit(False)
     for part in forbidden:
-        bad = bad | path.contains(part)
-    fine = F.parse_url(url, F.lit("PROTOCOL")).isin("http", "https") & F.lower(F.parse_url(url, F.lit("HOST"))).isin(*hosts)
-    return F.coalesce(fine & ~bad & (F.coalesce(F.parse_url(url, F.lit("QUERY")), F.lit("")) == ""), F.lit(False))
+        bad = bad | piece(3).contains(part)
+    return F.coalesce(piece(1).isin("http", "https") & piece(2).isin(*hosts) & ~bad & (piece(4) == ""), F.lit(False))
 
 
 def robots_allowed(urls: DataFrame, rules: Sequence[tuple[str, str]], url_col: str = "url", out: str = "allowed") -> DataFrame:
     """Longest matching rule wins, allow wins ties, no match allows. ``rules``: (allow or disallow, path pattern with * and $).
 
     A site's rules are a short list, so they become one expression and no join."""
-    path = F.coalesce(F.nullif(F.url_decode(F.regexp_extract(F.col(url_col), r"^[a-z]+://[^/?#]*([^?#]*)", 1)), F.lit("")), F.lit("/"))
+    raw = F.regexp_extract(F.col(url_col), r"^[a-z]+://[^/?#]*([^?#]*)", 1)
+    plain = F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)  # a plus is a plus; bad escapes stay as they are
+    path = F.coalesce(F.nullif(plain, F.lit("")), F.lit("/"))
     verdict = None
     for kind, pattern in sorted((r for r in rules if r[1]), key=lambda r: (-len(r[1]), r[0] != "allow")):
         ends = pattern.endswith("$")
