@@ -140,7 +140,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(chosen), "id").select("id", "label", "text")
     schema = T.StructType([rows.schema["id"], *T.DataType.fromDDL("label int, buckets array<int>, counts array<int>").fields])
-    found = rows.mapInArrow(_featurize, schema).dropDuplicates(["id"]).toArrow().sort_by("id")
+    one = F.min_by(F.struct("buckets", "counts"), F.xxhash64("buckets", "counts"))  # of texts that share an id, always the same one
+    found = rows.mapInArrow(_featurize, schema).groupBy("id", "label").agg(one.alias("text")).select("id", "label", "text.*").toArrow().sort_by("id")
     samples = [
         (buckets.values.to_numpy(), counts.values.to_numpy(), int(label > 0))
         for label, buckets, counts in zip(found["label"].to_pylist(), found["buckets"], found["counts"])

@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -128,12 +130,14 @@ def find_spans(raw: bytes | None, least_cost: float) -> list[tuple[int, int, int
         spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if context:
         known = sorted((start, end) for start, _, end in spans)
+        reach = list(accumulate((end for _, end in known), max))  # the furthest end of the spans so far
         for m in CONTEXT.finditer(text):
             start, end = m.span(2)
             value = m[2]
             # after "is" comes prose as well: there, only letters and digits together make a credential
             likely = m[1] in ":=" or any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-            if likely and not any(a <= start and end <= b for a, b in known) and guess_cost(value)[0] >= least_cost:
+            before = bisect_right(known, (start, len(text)))
+            if likely and not (before and reach[before - 1] >= end) and guess_cost(value)[0] >= least_cost:
                 spans.append((start, 3, end))
     return sorted(spans)
 
