@@ -24,6 +24,13 @@ BATTERY_LABELS = (("AGM", ("agm",)), ("EFB", ("efb",)), ("GEL", ("gel", "гел
 #: Words that are no brand at the head of a name.
 NOT_BRANDS = ("автомобильный", "автомобильная", "автомобильное", "автомобильные", "для", "моторное", "масло", "шина", "шины", "аккумулятор", "фильтр")
 
+#: Makes of vehicles that a filter's name may give, and those of them that are written in capitals.
+VEHICLE_MAKES = (
+    "камаз", "газ", "газель", "паз", "маз", "урал", "белаз", "краз", "case", "liebherr", "volvo", "cummins", "toyota", "hyundai", "kia", "nissan",
+    "renault", "volkswagen", "audi", "bmw", "mercedes",
+)
+CAPITAL_MAKES = ("газ", "маз", "паз", "урал", "камаз")
+
 
 def empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
@@ -124,6 +131,45 @@ def infer_brand(name: Column, known: Sequence[str], explicit: Column | None = No
     return F.coalesce(given, title_case(found) if found is not None else F.lit(None), head, F.lit(""))
 
 
+def compatible_brands(name: Column, makes: Sequence[str] = VEHICLE_MAKES) -> Column:
+    """The makes of vehicles that stand alone in the name, in the order of the list, joined by semicolons; null where there is none."""
+    low = F.lower(empty(name))
+    label = lambda make: make.upper() if make in CAPITAL_MAKES else make.title()
+    found = [F.when(low.rlike(rf"(?U)(?<!\w)\Q{make}\E(?!\w)"), label(make)) for make in makes]
+    return F.nullif(F.concat_ws("; ", *found), F.lit(""))
+
+
+def compatible_models(name: Column, first: int = 8) -> Column:
+    """Codes of vehicles and engines (letters, then two to five digits) among the ``first`` in the name, distinct, joined by semicolons; null without any."""
+    codes = F.regexp_extract_all(empty(name), F.lit(r"(?iuU)\b(?:двс\s*)?[A-ZА-Я]{1,6}[- ]?\d{2,5}(?:[.-]\d+)?\b"), F.lit(0))
+    plain = F.transform(F.slice(codes, 1, first), lambda code: F.upper(strip_tags(code)))
+    return F.nullif(F.array_join(F.array_distinct(plain), "; "), F.lit(""))
+
+
+def product_url(host: str, product_id: Column, slug: Column) -> Column:
+    """A product's page: its id, then its slug if it has one; empty without an id."""
+    number = F.nullif(product_id.cast("string"), F.lit(""))
+    return F.coalesce(F.concat(F.lit(f"{host}/p"), number, F.coalesce(F.concat(F.lit("-"), F.nullif(slug, F.lit(""))), F.lit("")), F.lit(".html")), F.lit(""))
+
+
+def image_urls(product: Column) -> Column:
+    """The distinct http addresses under the image keys of a product's JSON text, in order: texts, and lists of texts or of objects with url or src."""
+    entries = F.map_entries(F.from_json(empty(product), "map<string,string>"))
+    address = lambda item: F.when(item.startswith("{"), F.coalesce(F.nullif(F.get_json_object(item, "$.url"), F.lit("")), F.get_json_object(item, "$.src"))).otherwise(item)
+    listed = lambda e: F.transform(F.from_json(e["value"], "array<string>"), address)
+    given = lambda e: F.when(e["key"].startswith("images") & e["value"].startswith("["), listed(e)).otherwise(F.array(e["value"]))
+    found = F.flatten(F.transform(F.filter(entries, lambda e: e["key"].startswith("image") & e["value"].isNotNull()), lambda e: F.coalesce(given(e), F.array().cast("array<string>"))))
+    return F.coalesce(F.array_distinct(F.filter(found, lambda url: url.startswith("http"))), F.array().cast("array<string>"))
+
+
+def category_key(category_id: Column, path: Column, keys: Mapping[int, str], fallback: Column | None = None) -> Column:
+    """The key of a product's own category if it is among ``keys``, else that of the deepest one on its path, else ``fallback``.
+    Rows where it is null are those that a category filter drops."""
+    table = F.create_map(*[F.lit(x) for item in keys.items() for x in item])
+    above = F.filter(F.transform(F.reverse(path), lambda k: F.try_element_at(table, k.cast("int"))), lambda k: k.isNotNull())
+    return F.coalesce(F.try_element_at(table, category_id.cast("int")), F.try_element_at(above, F.lit(1)), F.lit(None) if fallback is None else fallback)
+
+
 def product_line(name: Column, brand: Column) -> Column:
     """The name without brand, filler words, grade and volume, its distinct words in order."""
     text = F.lower(strip_tags(name))

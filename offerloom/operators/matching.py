@@ -139,6 +139,12 @@ def source_mapping(offers: DataFrame, groups: DataFrame, masters: DataFrame, mat
     )
 
 
+def with_source_urls(rows: DataFrame, offers: DataFrame, keys: Sequence[str] = ("source", "source_product_id")) -> DataFrame:
+    """``rows`` with the offers' source_url in place of their own: one for each key, the least that isn't blank, else null."""
+    found = offers.filter(F.trim("source_url") != "").groupBy(*keys).agg(F.min("source_url").alias("source_url"))
+    return rows.drop("source_url").join(found, list(keys), "left")
+
+
 def features(df: DataFrame, category: str, encode: Callable[[Column], Column] = M.name_vector) -> DataFrame:
     """An offer table's cleaned attributes, block key and name vector for its category."""
     name, raw = F.col("normalized_name"), F.col

@@ -56,6 +56,20 @@ def assert_quality(report: DataFrame) -> None:
         raise ValueError(f"quality gate failed for: {', '.join(sorted(failed))}")
 
 
+def assert_complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df``, after a look that none of the columns is null in any row; an error names those that are."""
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    if any(nulls):
+        raise ValueError("null values: " + ", ".join(f"{c} in {nulls[c]} rows" for c in columns if nulls[c]))
+    return df
+
+
+def append_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All existing rows, and those of the new ones whose key they lack; columns that only one side has are null in the other."""
+    match = [existing[k].eqNullSafe(new[k]) for k in keys]
+    return existing.unionByName(new.join(existing, match, "left_anti"), allowMissingColumns=True)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that break uniqueness, with their number of rows."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

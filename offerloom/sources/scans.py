@@ -170,6 +170,7 @@ def robots_allowed(urls: DataFrame, rules: Sequence[tuple[str, str]], url_col: s
 
 
 def sitemap_urls(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct locations of a sitemap or of the index over others that were saved beside it."""
-    found = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?is)<loc>\s*(.*?)\s*</loc>"), F.lit(1))).alias("url"))
+    """Distinct pages of the sitemaps saved under ``path``, an index and those it names alike. The locations of child sitemaps are no pages."""
+    pages = F.regexp_replace("value", r"(?is)<sitemap\b.*?</sitemap>|<!--.*?-->", "")
+    found = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all(pages, F.lit(r"(?is)<loc>\s*(.*?)\s*</loc>"), F.lit(1))).alias("url"))
     return found.distinct()
