@@ -23,7 +23,7 @@ from ..sources import sinks
 from ..streaming import ingest as I
 from . import clean, scalar_queries
 from .scalar_queries import q
-from .scratch import shared_dir
+from .scratch import materialize, shared_dir
 
 #: One offer per line item; names and columns are the same in both engines.
 OFFERS = """
@@ -68,8 +68,8 @@ def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest(spark, sf_dir).withColumn("block_key", M.block_key(F.lit("tires"), F.col("brand"), [F.col("kind"), F.col("size")]))
 
 
-def pairs(spark: SparkSession, sf_dir: str, carry: tuple[str, ...] = ("part", "product_name")) -> DataFrame:
-    return X.candidate_pairs(keyed(spark, sf_dir), carry=carry)
+def pairs(spark: SparkSession, sf_dir: str, carry: tuple[str, ...] = ("part", "product_name"), rows: DataFrame | None = None) -> DataFrame:
+    return X.candidate_pairs(materialize(keyed(spark, sf_dir), "keyed") if rows is None else rows, carry=carry)  # read three times
 
 
 QUERIES: dict = {}
@@ -250,9 +250,9 @@ def _(spark, d):
     return X.exact_pairs(df).select("sku_1", "sku_2", "source_1", "source_2", "score", "match_type", "candidate_block_key")
 
 
-def _rule(spark: SparkSession, d: str) -> DataFrame:
+def _rule(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
     """Pairs with a rule score: the brand weighs 1.5, name words and a partly unknown season 1."""
-    p = pairs(spark, d)
+    p = pairs(spark, d, rows=rows)
     side = lambda k: {"brand_clean": F.lit("b"), "article": F.element_at(F.split(f"product_name_{k}", " "), 3), "season_clean": F.when(F.col(f"part_{k}") % 3 > 0, (F.col(f"part_{k}") % 2).cast("string")).otherwise("unknown")}
     return p.withColumn("rule", M.rule_score(side(1), side(2)))
 
@@ -287,8 +287,9 @@ def _(spark, d):
 LINKS = f"SELECT sku_1, sku_2, source_1, source_2, round(CAST(rule AS DOUBLE), 3) AS score FROM ({RULED}) r WHERE rule >= 0.9"
 
 
-def links(spark: SparkSession, d: str) -> DataFrame:
-    return _rule(spark, d).filter("rule >= 0.9").select("sku_1", "sku_2", "source_1", "source_2", F.round("rule", 3).alias("score"), F.lit("rules+embeddings").alias("match_type"))
+def links(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
+    found = _rule(spark, d, rows).filter("rule >= 0.9")
+    return materialize(found.select("sku_1", "sku_2", "source_1", "source_2", F.round("rule", 3).alias("score"), F.lit("rules+embeddings").alias("match_type")), "links")
 
 
 @query("root_merchant", f"SELECT source, count(DISTINCT sku) AS n_skus FROM (SELECT sku_1 AS sku, source_1 AS source FROM ({LINKS}) l UNION ALL SELECT sku_2, source_2 FROM ({LINKS}) l) s GROUP BY source ORDER BY n_skus DESC, source LIMIT 1")
@@ -312,9 +313,10 @@ GROUPS = f"""{COMPONENTS}, root AS (SELECT source FROM (SELECT sku_1 AS sku, sou
 
 
 def _grouped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    base = latest(spark, d).select("sku_id", "source", "source_product_id", F.col("product_name").alias("name"), "brand", (F.col("part") % 5).alias("category_id"), F.lower("product_name").alias("description"))
-    found = links(spark, d)
-    return base, found, X.match_groups(base, found)
+    rows = materialize(keyed(spark, d), "keyed")
+    base = rows.select("sku_id", "source", "source_product_id", F.col("product_name").alias("name"), "brand", (F.col("part") % 5).alias("category_id"), F.lower("product_name").alias("description"))
+    found = links(spark, d, rows)
+    return base, found, materialize(X.match_groups(base, found), "groups")
 
 
 @query("match_groups", f"WITH RECURSIVE {GROUPS} SELECT p.sku_id, p.source, p.component, h.n_members, h.anchor FROM placed p JOIN heads h ON h.component = p.component")
@@ -340,7 +342,7 @@ def master_skus(spark, d):
   SELECT *, CASE WHEN match_method IN ('OEM', 'root', 'single_source') OR match_score >= 0.9 THEN 'High' WHEN match_score >= 0.75 THEN 'Medium' ELSE 'Low' END AS match_confidence FROM rows""")
 def _(spark, d):
     base, found, groups = _grouped(spark, d)
-    return X.source_mapping(base, groups, X.master_skus(base, groups), found)
+    return X.source_mapping(base, groups, materialize(X.master_skus(base, groups).select("anchor", "id"), "masters"), found)
 
 
 @query("match_explanations")
