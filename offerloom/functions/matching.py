@@ -162,9 +162,20 @@ def explanation(left: dict[str, Column], right: dict[str, Column]) -> Column:
     )
 
 
+def dot(a: Column, b: Column) -> Column:
+    """The inner product of two vectors: of unit vectors, their cosine."""
+    return F.aggregate(F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
+
+
+def unit(vector: Column) -> Column:
+    """The vector at length 1, as doubles; one without length stays as it is. Done once for each row, it spares the pairs the work."""
+    size = F.sqrt(dot(vector, vector))
+    one = F.array(F.when(size > 0, size).otherwise(1.0))  # bound to a name, it is worked out once and not for each element
+    return F.element_at(F.transform(one, lambda length: F.transform(vector, lambda p: p.cast("double") / length)), 1)
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two vectors; 0 where one has no length."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     size = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     return F.when(size > 0, dot(a, b) / size).otherwise(0.0)
 

@@ -55,9 +55,9 @@ def candidate_pairs(df: DataFrame, carry: Sequence[str] = (), key: str = "block_
 
 
 def score_pairs(pairs: DataFrame, rules: Rules, vector: str = "vector") -> DataFrame:
-    """Rule, embedding and total score of pairs that carry the score attributes and vectors, and those that reach the threshold."""
+    """Rule, embedding and total score of pairs that carry the score attributes and unit vectors, and those that reach the threshold."""
     left, right = ({n: F.col(f"{n}_{k}") for n in rules.score} for k in (1, 2))
-    scored = pairs.withColumns({"rule": M.rule_score(left, right), "emb": M.cosine(F.col(f"{vector}_1"), F.col(f"{vector}_2"))})
+    scored = pairs.withColumns({"rule": M.rule_score(left, right), "emb": M.dot(F.col(f"{vector}_1"), F.col(f"{vector}_2"))})
     total = F.col("rule") * rules.rule_weight + F.col("emb") * rules.embedding_weight
     scored = scored.withColumn("total", F.when(M.hard_mismatch(left, right), total * M.MISMATCH_FACTOR).otherwise(total))
     kept = scored.filter(F.col("total") >= rules.threshold)
@@ -180,7 +180,7 @@ def features(df: DataFrame, category: str, encode: Callable[[Column], Column] =
 def match_category(df: DataFrame, category: str) -> DataFrame:
     """The category's accepted pairs, best per pair; ``df`` comes from ``features``."""
     rules = RULES[category]
-    found = score_pairs(candidate_pairs(df, carry=[*rules.score, "vector"]), rules)
+    found = score_pairs(candidate_pairs(df.withColumn("vector", M.unit(F.col("vector"))), carry=[*rules.score, "vector"]), rules)
     if category == "filters":
         found = exact_pairs(df).unionByName(found)
     return best_pairs(found)

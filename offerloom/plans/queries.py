@@ -278,9 +278,9 @@ def _(spark, d):
   FROM ({RULED}) r JOIN embeddings x ON x.vec_id = part_1 % 200 JOIN embeddings y ON y.vec_id = part_2 % 200) t WHERE total >= 0.4""")
 def _(spark, d):
     e = _table(spark, d, "embeddings")
-    side = lambda k: e.select((F.col("vec_id")).alias(f"vec_{k}"), F.col("embedding").alias(f"vector_{k}"))
+    side = lambda k: e.select(F.col("vec_id").alias(f"vec_{k}"), M.unit(F.col("embedding")).alias(f"vector_{k}"))
     p = _rule(spark, d).withColumns({"vec_1": F.col("part_1") % 200, "vec_2": F.col("part_2") % 200}).join(side(1), "vec_1").join(side(2), "vec_2")
-    total = F.col("rule") * 0.55 + M.cosine(F.col("vector_1"), F.col("vector_2")) * 0.45
+    total = F.col("rule") * 0.55 + M.dot(F.col("vector_1"), F.col("vector_2")) * 0.45
     return p.withColumn("total", total).filter("total >= 0.4").select("sku_1", "sku_2", F.round("total", 3).alias("score"))
 
 
