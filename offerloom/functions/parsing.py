@@ -21,6 +21,9 @@ OIL_LABELS = (
     ("Синтетическое", ("синтет", "synthetic")), ("Минеральное", ("минерал", "mineral")),
 )
 BATTERY_LABELS = (("AGM", ("agm",)), ("EFB", ("efb",)), ("GEL", ("gel", "гелев")), ("Ca/Ca", ("ca/ca",)), ("lead_acid", ("свинц",)))
+POLARITY_LABELS = (("Обратная", ("обратн", "правый", "правая")), ("Прямая", ("прям", "левый", "левая")))
+#: Words for tires without studs, and for studs.
+STUDLESS_WORDS, STUD_WORD = ("без шип", "нешип", "липучк", "фрикцион"), "шип"
 #: Words that are no brand at the head of a name.
 NOT_BRANDS = ("автомобильный", "автомобильная", "автомобильное", "автомобильные", "для", "моторное", "масло", "шина", "шины", "аккумулятор", "фильтр")
 
@@ -65,7 +68,7 @@ def runflat(c: Column) -> Column:
 
 def studded_label(c: Column) -> Column:
     low = F.lower(c)
-    return F.when(contains_any(low, ("без шип", "нешип", "липучк", "фрикцион")), False).when(low.contains("шип"), True)
+    return F.when(contains_any(low, STUDLESS_WORDS), False).when(low.contains(STUD_WORD), True)
 
 
 def viscosity(c: Column) -> Column:
@@ -102,7 +105,7 @@ def voltage_v(c: Column) -> Column:
 
 def polarity_label(c: Column) -> Column:
     low = F.lower(empty(c))
-    words = ladder(low, (("Обратная", ("обратн", "правый", "правая")), ("Прямая", ("прям", "левый", "левая"))))
+    words = ladder(low, POLARITY_LABELS)
     signs = F.when(low.rlike(r"(?:^|\s)-\+(?:\s|$)"), "Обратная").when(low.rlike(r"(?:^|\s)\+-(?:\s|$)"), "Прямая")
     return F.coalesce(words, signs, F.lit(""))
 
