@@ -126,6 +126,11 @@ def category_rows() -> list[tuple[int, str, int, int | None, str | None, bool]]:
     return [(*row, row[0] not in inner) for row in rows]
 
 
+def upsert_dictionary(stored: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """A static table with the given rows merged in by their id: known ids take all new values, unknown ones are added, others stay."""
+    return upsert(stored, rows, [key], [c for c in rows.columns if c != key])
+
+
 def categories(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(category_rows(), "category_id long, name string, level long, parent_category_id long, parent_category string, is_leaf boolean")
 

@@ -143,3 +143,8 @@ def tree_closure(nodes: DataFrame, key: str, parent: str, level: str, depth: int
         out = out.unionByName(current)
         step += 1
     return out.select(key, "ancestor", "ancestor_level")
+
+
+def sample_rows(df: DataFrame, rows: int, columns: int = 8) -> DataFrame:
+    """A look at a table: some ``rows`` of its first ``columns``; none of either where the number isn't positive."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns[: max(columns, 0)]]).limit(max(rows, 0))

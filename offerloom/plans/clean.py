@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
 from ..functions.text import strip, to_float
 from ..operators.relational import top_per_key
+from ..sources.scans import GROUP_COLUMNS
 
 
 def clean_table(df: DataFrame, group: str, brands: DataFrame, cleaned_at: Column) -> DataFrame:
@@ -39,3 +42,11 @@ def clean_table(df: DataFrame, group: str, brands: DataFrame, cleaned_at: Column
     keys = [c for c in ("load_id", "source", "source_product_id", "source_url") if c in df.columns]
     df = top_per_key(df, keys, []) if keys else df.distinct()
     return df.withColumn("cleaned_at", cleaned_at)
+
+
+def clean_named(name: str, df: DataFrame, brands: DataFrame, cleaned_at: Column, groups: Mapping[str, str] | None = None) -> DataFrame:
+    """The cleaning plan of a table by its name: that of the group ``groups`` has for it, else of the group its name ends in."""
+    found = (groups or {}).get(name) or next((g for g in GROUP_COLUMNS if name == g or name.endswith(f"_{g}")), None)
+    if found not in GROUP_COLUMNS:
+        raise ValueError(f"no cleaner for {name}; there are {', '.join(GROUP_COLUMNS)}")
+    return clean_table(df, found, brands, cleaned_at)

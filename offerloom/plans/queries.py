@@ -18,6 +18,7 @@ from ..operators import catalog as K
 from ..operators import matching as X
 from ..operators import relational as R
 from ..operators.components import connected_components
+from ..sources import products as PR
 from ..sources import scans as S
 from ..sources import sinks
 from ..streaming import ingest as I
@@ -461,6 +462,43 @@ def _(spark, d):
     return S.robots_allowed(_table(spark, d, "pages"), _RULES).select("page_id", "allowed")
 
 
+@query("flat_products", "SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name, CAST(p_size AS VARCHAR) AS price, 'https://h/p/' || CAST(p_partkey AS VARCHAR) AS url, CASE WHEN p_size % 2 = 0 THEN p_brand || ' | ' || p_type ELSE p_type END AS category, "
+       "p_brand AS brand, CASE WHEN p_size % 3 = 0 THEN 'http://a | http://b' ELSE '' END AS images, CASE WHEN p_size % 5 > 0 THEN p_brand END AS container, CASE WHEN p_size % 5 > 0 THEN 2 ELSE 1 END AS n_attributes FROM part")
+def _(spark, d):
+    part, even = _table(spark, d, "part"), F.col("p_size") % 2 == 0
+    named = lambda n, v: F.struct(F.lit(n).alias("name"), v.alias("value"))
+    nested = F.to_json(F.struct(
+        F.col("p_partkey").alias("id"), F.struct(F.when(even, F.col("p_name")).alias("title"), F.col("p_brand").alias("brand_name")).alias("info"), F.col("p_name").alias("name"),
+        F.struct(F.when(even, F.col("p_size")).alias("price")).alias("cost_info"), F.col("p_size").alias("price"), F.col("p_partkey").cast("string").alias("slug"),
+        F.when(even, F.array(F.struct(F.col("p_brand").alias("name")), F.struct(F.lit("").alias("name")), F.struct(F.col("p_type").alias("name")))).alias("categories"),
+        F.when(F.col("p_size") % 3 == 0, F.array(F.struct(F.lit("http://a").alias("url")), F.struct(F.lit("http://b").alias("url")))).alias("images"),
+        F.array(named("type", F.col("p_type")), named("container", F.when(F.col("p_size") % 5 > 0, F.col("p_brand")))).alias("attributes"),
+    ))
+    flat = part.select(PR.flat_product(nested, F.col("p_type"), "https://h").alias("p")).select("p.*")
+    return flat.select("product_id", "name", "price", "url", "category", "brand", "images", F.col("attributes")["container"].alias("container"), F.size("attributes").alias("n_attributes"))
+
+
+@query("page_products", "SELECT p_partkey AS id, 'https://h/p' || CAST(p_partkey AS VARCHAR) || '-x' AS url, CAST(p_partkey AS VARCHAR) AS product_id, CASE WHEN p_size % 4 = 3 THEN 'Heading' ELSE p_name END AS name, CASE WHEN p_size % 4 < 3 THEN CAST(p_size AS DOUBLE) END AS price, "
+       "CASE WHEN p_size % 4 < 3 THEN 'InStock' ELSE '' END AS availability, CASE WHEN p_size % 4 < 3 THEN p_brand ELSE '' END AS brand FROM part")
+def _(spark, d):
+    kind = F.col("p_size") % 4  # one object, a list, a graph, or none
+    offer = F.struct(F.col("p_size").alias("price"), F.lit("http://schema.org/InStock").alias("availability"))
+    product = F.to_json(F.struct(F.lit("Product").alias("@type"), F.col("p_name").alias("name"), F.struct(F.col("p_brand").alias("name")).alias("brand"), F.array(offer).alias("offers")))
+    data = F.when(kind == 0, product).when(kind == 1, F.concat(F.lit('[{"@type": "Thing"}, '), product, F.lit("]"))).when(kind == 2, F.concat(F.lit('{"@graph": ['), product, F.lit("]}"))).otherwise("{broken")
+    html = F.concat(F.lit('<h1 class="x">Heading</h1><script type="application/ld+json">'), data, F.lit("</script>"))
+    url = F.concat(F.lit("https://h/p"), F.col("p_partkey").cast("string"), F.lit("-x"))
+    found = _table(spark, d, "part").select(F.col("p_partkey").alias("id"), PR.page_product(html, url).alias("p"))
+    return found.select("id", "p.url", "p.product_id", "p.name", "p.price", "p.availability", "p.brand")
+
+
+@query("dictionary_upsert", "SELECT n_nationkey AS id, CASE WHEN n_nationkey % 3 = 0 THEN upper(n_name) || '!' ELSE n_name END AS name FROM nation UNION ALL SELECT 1000 + r_regionkey, r_name FROM region")
+def _(spark, d):
+    nation = _table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    new = nation.filter("id % 3 = 0").withColumn("name", F.concat(F.upper("name"), F.lit("!")))
+    more = _table(spark, d, "region").select((F.col("r_regionkey") + 1000).alias("id"), F.col("r_name").alias("name"))
+    return K.upsert_dictionary(nation, new.unionByName(more), "id")
+
+
 @query("load_idempotent", "SELECT 'l' || (o_orderkey % 3) AS load_id, count(*) AS n FROM orders GROUP BY 1")
 def _(spark, d):
     path = f"{shared_dir(spark)}/load-{uuid4().hex}"
