@@ -7,7 +7,7 @@ Where none does, the capacity with the least cost per token it can still be fill
 open one capacity only compete with that one, and the cheapest plan counts after every sequence has been
 cut down to the least permitted capacity that holds its contents.
 
-Defined results: a null or empty text is a piece of one token (the end mark); repeated rows are packed each
+Defined results: a null or empty text is a piece of one token (the end mark); a null id is kept and comes last among equals; repeated rows are packed each
 by itself; an empty table gives no rows; columns other than id and text are ignored.
 """
 
@@ -16,10 +16,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import table
 
@@ -100,15 +102,20 @@ def pack_sequences(
     count = rows.agg(F.sum(F.floor((F.col("tokens") - 1) / most) + 1)).first()[0] or 0
     pieces = pieces.repartition(max(1, -(-count // group_rows)))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = [f for f in frames if len(f)]
-        if frames:
-            rows = pd.concat(frames, ignore_index=True).sort_values(["length", "id", "piece"], ascending=[False, True, True], kind="stable")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches([b for b in batches if len(b)], held)
+        if len(rows):
+            order = pc.sort_indices(rows, [("length", "descending"), ("id", "ascending"), ("piece", "ascending")])
+            rows = rows.take(order)
             bins, offsets, final = pack_group(rows["length"].to_numpy(), capacities)
-            yield rows.assign(sequence=(TaskContext.get().partitionId() << 32) + bins, capacity=final, offset=offsets)
+            placed = {"sequence": (TaskContext.get().partitionId() << 32) + bins, "capacity": final, "offset": offsets}
+            for name, values in placed.items():
+                rows = rows.append_column(name, pa.array(values, pa.int64()))
+            yield from rows.to_batches()
 
+    held = to_arrow_schema(pieces.schema)
     schema = f"id {pieces.schema['id'].dataType.simpleString()}, piece long, start long, length long, sequence long, capacity long, offset long"
-    return pieces.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+    return pieces.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def op7_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
