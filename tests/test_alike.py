@@ -5,7 +5,7 @@ import datetime as dt
 import duckdb
 import pytest
 from pyspark.sql import functions as F
-from tests.oracle import rows
+from tests.oracle import DATA, rows
 from tests.test_whole import LINE, PART
 
 from offerloom.functions import matching as M
@@ -48,3 +48,15 @@ def test_given_texts_score_as_worked_out_ones(spark):
     made = tuple({n: M.hard_value(c) for n, c in side.items()} for side in raw)
     for function in (M.rule_score, M.hard_mismatch, M.explanation):
         assert df.select(F.to_json(F.struct(function(*raw).alias("v")))).collect() == df.select(F.to_json(F.struct(function(*made, M.given).alias("v")))).collect()
+
+
+def test_vectors_meet_once_for_all_pairs_that_share_them(spark, copies):
+    path = copies
+    spark.read.parquet(f"{DATA}/embeddings.parquet").write.mode("overwrite").parquet(f"{path}/embeddings.parquet")
+    connection = duckdb.connect()
+    for table in ("part", "lineitem", "embeddings"):
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{path}/{table}.parquet/*.parquet'")
+    stated = connection.sql(engine.ORACLES["scored_matches"].replace("BETWEEN 2 AND 12", f"BETWEEN 2 AND {X.MAX_BLOCK}"))
+    df = engine.QUERIES["scored_matches"](spark, path)
+    assert "zip_with" not in df._jdf.queryExecution().toString()  # no inner product for each pair
+    assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(stated.columns, stated.fetchall())
